@@ -40,10 +40,14 @@ def matrix_rows(counts: DataFrame, vocabulary: DataFrame, feeds: DataFrame) -> D
             .select("feed", F.transform("words", lambda w: F.coalesce(F.try_element_at("cells", w), F.lit(0))).alias("counts")))
 
 
-def first_by_title(entries: DataFrame, seq: str = "doc_id") -> DataFrame:
-    """Keep the earliest entry of every title; the rank filter is applied before the shuffle too."""
-    rank = F.row_number().over(Window.partitionBy("title").orderBy(seq))
-    return entries.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+def first_by(rows: DataFrame, key: str, seq: str) -> DataFrame:
+    """Keep the earliest row of every key; Spark applies the rank filter before the shuffle too."""
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(seq))
+    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def first_by_title(entries: DataFrame) -> DataFrame:
+    return first_by(entries, "title", "doc_id")
 
 
 def article_words(entries: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = (
-    "texts",
+    "texts", "similarities", "searches",
 )
 
 
