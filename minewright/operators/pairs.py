@@ -6,25 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SPAN = 1 << 31
+
+
 def paired(df: DataFrame, key: list[str], item: str, block: int = 1000) -> DataFrame:
     """Every unordered pair of rows with equal ``key`` and different ``item``, as structs ``x`` and ``y``.
 
     A key with more than ``block`` rows is cut into blocks by a hash of ``item``; each pair of
     blocks is a join group of its own, so no group holds more than about ``block`` rows a side
-    and the pairs of a hot key spread over the cluster. No pair is lost or repeated.
+    and the pairs of a hot key spread over the cluster. No pair is lost or repeated. Blocks
+    follow the hash order and so do ``x`` and ``y``: a pair has the same order under every key.
     """
     hot = (df.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
-           .select(*key, F.ceil(F.col("_n") / block).cast("int").alias("_blocks")))
-    rows = (df.join(hot, key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-            .withColumn("_block", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")))
+           .select(*key, F.ceil(F.col("_n") / block).alias("_blocks")))
+    rows = (df.withColumn("_hash", F.pmod(F.xxhash64(item), F.lit(SPAN))).join(hot, key, "left")
+            .withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long")))
+            .withColumn("_block", F.shiftright(F.col("_hash") * F.col("_blocks"), 31)))
     keys = [F.col(k) for k in key]
-    payload = F.struct(*df.columns)
+    payload = F.struct("_hash", *df.columns)
     left = rows.select(*keys, F.col("_block").alias("_lo"),
-                       F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_hi"), payload.alias("_p"))
-    right = rows.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_lo"),
-                        F.col("_block").alias("_hi"), payload.alias("_q"))
-    ordered = F.col(f"_p.{item}") < F.col(f"_q.{item}")
-    met = left.join(right, [*key, "_lo", "_hi"]).where(
-        F.when(F.col("_lo") == F.col("_hi"), ordered).otherwise(F.col(f"_p.{item}") != F.col(f"_q.{item}")))
-    return met.select(*key, F.when(ordered, F.col("_p")).otherwise(F.col("_q")).alias("x"),
-                      F.when(ordered, F.col("_q")).otherwise(F.col("_p")).alias("y"))
+                       F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_hi"), payload.alias("x"))
+    right = rows.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "_block")).alias("_lo"),
+                        F.col("_block").alias("_hi"), payload.alias("y"))
+    ordered = (F.col("x._hash") < F.col("y._hash")) | (
+        (F.col("x._hash") == F.col("y._hash")) & (F.col(f"x.{item}") < F.col(f"y.{item}")))
+    return left.join(right, [*key, "_lo", "_hi"]).where(ordered).select(*key, "x", "y")
