@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = (
-    "texts", "similarities", "searches", "clicks", "assignments",
+    "texts", "similarities", "searches", "clicks", "assignments", "classifiers",
 )
 
 
