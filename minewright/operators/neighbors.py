@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minewright.functions import kernels
+from minewright.operators.pairs import spread
 from minewright.session import cut
 
 GRID_DIMS = 4
@@ -123,7 +124,7 @@ def _answer(data, asked, k, dims, grid, key, by, keep) -> DataFrame:
         used = [0]
     placed = data.select(*by, "id", "result", F.col("input").alias("_input"), F.explode(F.array(*[F.lit(u) for u in used])).alias("_at"))
     placed = placed.withColumn("_cell", grid.cell(F.col("_input"), F.col("_at")))
-    met = asks.join(placed, [*by, "_at", "_cell"])
+    met = spread(asks, [*by, "_at", "_cell"]).join(placed, [*by, "_at", "_cell"])
     if keep is not None:
         met = met.where(keep())
     met = met.select(*by, *key, "id", "result", "_reach", kernels.euclidean(F.col("input"), F.col("_input"), dims).alias("distance"))

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 SPAN = 1 << 31
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-partition by the coming join keys, with all shuffle partitions.
+
+    A pairing join turns few bytes into much work; sized by bytes alone, small inputs would be
+    merged into one task. The join reuses the partitioning of both sides, so nothing moves twice.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def paired(df: DataFrame, key: list[str], item: str, block: int = 1000) -> DataFrame:
     """Every unordered pair of rows with equal ``key`` and different ``item``, as structs ``x`` and ``y``.
 
@@ -30,4 +39,18 @@ def paired(df: DataFrame, key: list[str], item: str, block: int = 1000) -> DataF
                         F.col("_block").alias("_hi"), payload.alias("y"))
     ordered = (F.col("x._hash") < F.col("y._hash")) | (
         (F.col("x._hash") == F.col("y._hash")) & (F.col(f"x.{item}") < F.col(f"y.{item}")))
-    return left.join(right, [*key, "_lo", "_hi"]).where(ordered).select(*key, "x", "y")
+    keys = [*key, "_lo", "_hi"]
+    met = spread(left, keys).join(spread(right, keys), keys)
+    return met.where(ordered).select(*key, "x", "y")
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: list[str], block: int = 500) -> DataFrame:
+    """Equi-join where a key with many ``right`` rows is cut into blocks that ``left`` visits one by one."""
+    hot = (right.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+           .select(*key, F.ceil(F.col("_n") / block).alias("_blocks")))
+    payload = F.xxhash64(*right.columns)
+    blocks = F.coalesce("_blocks", F.lit(1).cast("long"))
+    there = right.join(hot, key, "left").select(*right.columns, F.pmod(payload, blocks).alias("_block"))
+    here = left.join(hot, key, "left").select(*left.columns, F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_block"))
+    keys = [*key, "_block"]
+    return spread(here, keys).join(spread(there, keys), keys).drop("_block")

@@ -18,11 +18,12 @@ def _profile(lines, key, result):
             .select("id", F.array("d0", "d1", "d2").alias("input"), "result"))
 
 
-SUM = F.round(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / 1000000, 6)
+def _spent():
+    return F.round(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / 1000000, 6)
 
 
 def samples(t: Tables):
-    return cut(_profile(t.lineitem, "l_orderkey", SUM), "samples")
+    return cut(_profile(t.lineitem, "l_orderkey", _spent()), "samples")
 
 
 def questions(t: Tables):
@@ -31,7 +32,7 @@ def questions(t: Tables):
 
 def shoppers(t: Tables):
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return cut(_profile(lines, "o_custkey", SUM), "shoppers")
+    return cut(_profile(lines, "o_custkey", _spent()), "shoppers")
 
 
 VECTOR = "avg(l_quantity) AS d0, avg(round(l_discount * 100)) AS d1, avg(round(l_tax * 100)) AS d2"
