@@ -60,9 +60,12 @@ def minmax_scale(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_bounds", bounds).withColumn("data", scaled(F.col("data"), F.col("_bounds"))).drop("_bounds")
 
 
-def condensed(rows: DataFrame) -> DataFrame:
-    """Equal vectors of a class as one row with their count."""
-    return rows.groupBy("data", "match").agg(F.count("*").alias("n"))
+def condensed(rows: DataFrame, dims: int) -> DataFrame:
+    """Equal vectors of a class as one row with their count, grouped by plain numbers."""
+    names = [f"_d{i}" for i in range(dims)]
+    flat = rows.select("match", *[F.get("data", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    return (flat.groupBy(*names, "match").agg(F.count("*").alias("n"))
+            .select(F.array(*names).alias("data"), "match", "n"))
 
 
 def kernel_terms(points: DataFrame, weighted: DataFrame, gamma: float, dims: int, same: list[str] | None = None) -> DataFrame:
@@ -89,7 +92,7 @@ def kernel_terms(points: DataFrame, weighted: DataFrame, gamma: float, dims: int
 
 def rbf_offset(rows: DataFrame, gamma: float, dims: int) -> DataFrame:
     """One row ``offset``: mean kernel inside class 1 minus mean kernel inside class 0, over all ordered pairs."""
-    kinds = cut(condensed(rows), "kinds")
+    kinds = cut(condensed(rows, dims), "kinds")
     points = kinds.select(F.col("data").alias("point"), "match", F.col("n").alias("m"))
     inside = (kernel_terms(points, kinds, gamma, dims, ["match"])
               .groupBy("match").agg(F.sum(F.col("m") * F.col("kernel")).alias("total")))
@@ -100,7 +103,7 @@ def rbf_offset(rows: DataFrame, gamma: float, dims: int) -> DataFrame:
 
 def rbf_classify(points: DataFrame, rows: DataFrame, offset: DataFrame, gamma: float, dims: int) -> DataFrame:
     """0 or 1 by the mean kernel to either class plus the offset; ``points`` is ``id, point``."""
-    kinds = cut(condensed(rows), "kinds")
+    kinds = cut(condensed(rows, dims), "kinds")
     sizes = kinds.agg(F.struct(F.sum(F.when(F.col("match") == 0, F.col("n"))).alias("n0"),
                                F.sum(F.when(F.col("match") == 1, F.col("n"))).alias("n1"))).scalar()
     sums = kernel_terms(points, kinds, gamma, dims).groupBy("id").agg(

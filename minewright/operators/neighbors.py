@@ -79,7 +79,8 @@ def nearest(data: DataFrame, queries: DataFrame, k: int, dims: int, key: list[st
     queries = cut(queries, "queries")
     if keep is None:
         # Of equal inputs only the k lowest ids can be chosen, so heaps of copies shrink first.
-        lowest = F.row_number().over(Window.partitionBy(*by, "input").orderBy("id"))
+        place = [F.get("input", F.lit(i)) for i in range(dims)]
+        lowest = F.row_number().over(Window.partitionBy(*by, *place).orderBy("id"))
         data = data.withColumn("_copy", lowest).where(F.col("_copy") <= k).drop("_copy")
     data = cut(data, "samples")
     grid = _grid(data, queries, dims)
