@@ -50,7 +50,7 @@ def _updated(matrix: DataFrame, fixed: DataFrame, moved: DataFrame, fixed_key: s
 
 def step(matrix: DataFrame, w: DataFrame, h: DataFrame, factors: int) -> tuple[DataFrame, DataFrame]:
     """Update H from W, then W from the new H."""
-    h = _updated(matrix, w, h, "i", "j", "w", "h", factors)
+    h = cut(_updated(matrix, w, h, "i", "j", "w", "h", factors), "h")
     return _updated(matrix, h, w, "j", "i", "h", "w", factors), h
 
 
@@ -63,15 +63,18 @@ def cost(matrix: DataFrame, w: DataFrame, h: DataFrame, factors: int) -> DataFra
     return both.select((F.col("vv") - 2 * F.col("vwh") + trace).alias("cost"))
 
 
-def factorize(matrix: DataFrame, factors: int = 10, rounds: int = 50, cut_every: int = 5) -> tuple[DataFrame, DataFrame]:
-    """W and H after ``rounds`` updates, or earlier if the product is exact."""
+def factorize(matrix: DataFrame, factors: int = 10, rounds: int = 50, check_every: int = 10) -> tuple[DataFrame, DataFrame]:
+    """W and H after ``rounds`` updates, or earlier if the product is exact.
+
+    Both sides are written every half round: each is read three times by the next one, so a
+    lazy chain would be computed three times over per round.
+    """
     matrix = cut(matrix.select("i", "j", F.col("v").cast("double").alias("v")), "matrix")
     w, h = cut(start(matrix, "i", "w", factors), "w"), cut(start(matrix, "j", "h", factors), "h")
     for done in range(1, rounds + 1):
-        w, h = step(matrix, w, h, factors)
-        h = cut(h, "h")
-        w = cut(w, "w") if done % cut_every == 0 or done == rounds else w
-        if done % cut_every == 0 and done < rounds and (cost(matrix, w, h, factors).first()["cost"] or 0.0) == 0.0:
+        h = cut(_updated(matrix, w, h, "i", "j", "w", "h", factors), "h")
+        w = cut(_updated(matrix, h, w, "j", "i", "h", "w", factors), "w")
+        if done % check_every == 0 and done < rounds and (cost(matrix, w, h, factors).first()["cost"] or 0.0) == 0.0:
             break
     return w, h
 

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = (
-    "texts", "similarities", "searches", "clicks", "assignments", "classifiers", "trees", "neighbourhoods", "margins", "factors", "formulas",
+    "texts", "similarities", "searches", "clicks", "assignments", "classifiers", "trees", "neighbourhoods", "margins", "factors", "formulas", "clusters", "files",
 )
 
 

@@ -100,7 +100,7 @@ titled AS (SELECT title, a, w FROM w1 JOIN articles ON doc_id = i)"""
 
 @plan("nmf")
 def nmf(t: Tables):
-    w, h = factor.factorize(article_cells(t), TOPICS, rounds=10)
+    w, h = factor.factorize(article_cells(t), TOPICS, rounds=5)
     return _sides(w, h)
 
 
@@ -128,14 +128,14 @@ def article_topics(t: Tables):
 @plan("tfidf_topics")
 def tfidf_topics(t: Tables):
     cells = tfidf_weights(t).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("weight").alias("v"))
-    _, h = factor.factorize(cells, TOPICS, rounds=10)
+    _, h = factor.factorize(cells, TOPICS, rounds=5)
     return factor.top_keys(h, "j", "h", 20)
 
 
 @plan("volume_factors")
 def volume_factors(t: Tables):
     """Per factor the twelve strongest brands and the three strongest months."""
-    w, h = factor.factorize(volume_cells(t), 5, rounds=50, cut_every=10)
+    w, h = factor.factorize(volume_cells(t), 5, rounds=10)
     brands = factor.top_keys(h, "j", "h", 12).select("factor", F.lit("ticker").alias("side"), "rank", F.col("j").alias("key"), "weight")
     months = factor.top_keys(w, "i", "w", 3).select("factor", F.lit("date").alias("side"), "rank", F.col("i").alias("key"), "weight")
     return brands.unionByName(months)
