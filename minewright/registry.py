@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+TEXT_TABLES = ("documents", "pages")
+
+
 class Tables:
     """Lazy access to the parquet tables of one scale-factor folder."""
 
@@ -18,7 +21,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._spread(df) if name in TEXT_TABLES else df
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Text is cheap to store and dear to split: a table of fewer files than cores is dealt out first."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 @dataclass(frozen=True)
