@@ -107,30 +107,43 @@ def nearest(data: DataFrame, queries: DataFrame, k: int, dims: int, key: list[st
             return reduce(DataFrame.unionByName, answers)
 
 
+def _placed(data: DataFrame, asked: DataFrame, grid: Grid, by: list[str]) -> DataFrame:
+    """The samples in their squares, at the levels some query uses."""
+    used = [r[0] for r in asked.select("level").distinct().collect()] or [0]
+    at = data.select(*by, "id", "result", F.col("input").alias("_input"), F.explode(F.array(*[F.lit(u) for u in used])).alias("level"))
+    return at.withColumn("_cell", grid.cell(F.col("_input"), F.col("level")))
+
+
 def _answer(data, asked, k, dims, grid, key, by, keep) -> DataFrame:
-    """One round: the k best accepted samples, and whether they are certain (``_full``)."""
-    coarser = math.ceil(math.log2(max(math.sqrt(len(grid.axes)), 1.0)))
-    reach = F.when(F.col("level") == 0, F.lit(float("inf"))).otherwise(grid.reach(F.col("level")))
-    asks = asked.withColumn("_reach", reach).withColumn("_at", F.greatest(F.col("level") - coarser, F.lit(0)))
-    at = F.col("_at")
+    """One round: the k best accepted samples, and whether they are certain (``_full``).
+
+    The k-th distance inside a query's own square bounds how far the answer can lie; only
+    squares within that bound are joined. Without k accepted samples there, the diagonal is used.
+    """
+    placed = _placed(data, asked, grid, by)
+    gap = kernels.euclidean(F.col("input"), F.col("_input"), dims).alias("distance")
+    order = Window.partitionBy(*by, *key).orderBy("distance", "id")
+
+    def meeting(asks: DataFrame) -> DataFrame:
+        keys = [*by, "level", "_cell"]
+        met = spread(asks, keys).join(placed, keys)
+        return met.where(keep()) if keep is not None else met
+
+    own = meeting(asked.withColumn("_cell", grid.cell(F.col("input"), F.col("level")))).select(*by, *key, "id", gap)
+    bound = (own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+             .groupBy(*by, *key).agg(F.count("*").alias("_n"), F.max("distance").alias("_kth"))
+             .where(F.col("_n") == k).select(*by, *key, (F.col("_kth") * (1 + 1e-9) + 1e-12).alias("_kth")))
+    level = F.col("level")
+    widest = F.when(level == 0, F.lit(float("inf"))).otherwise(grid.reach(level))
+    asks = cut(asked.join(bound, [*by, *key], "left").withColumn("_reach", F.coalesce("_kth", widest)).drop("_kth"), "reach")
     for i, axis in enumerate(grid.axes):
         place = F.get("input", F.lit(axis))
-        low = F.when(F.col("level") == 0, F.lit(0).cast("long")).otherwise(grid.index(place - F.col("_reach"), i, at))
-        high = F.when(F.col("level") == 0, (grid.squares(at) - 1).cast("long")).otherwise(grid.index(place + F.col("_reach"), i, at))
+        low = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(place - F.col("_reach"), i, level))
+        high = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(place + F.col("_reach"), i, level))
         asks = asks.select("*", F.explode(F.sequence(low, high)).alias(f"_c{i}"))
-    cells = [F.col(f"_c{i}") for i in range(len(grid.axes))]
-    asks = asks.withColumn("_cell", F.array(*cells)).drop(*[f"_c{i}" for i in range(len(grid.axes))])
-    used = [r[0] for r in asked.select(F.greatest(F.col("level") - coarser, F.lit(0)).alias("l")).distinct().collect()]
-    if not used:
-        used = [0]
-    placed = data.select(*by, "id", "result", F.col("input").alias("_input"), F.explode(F.array(*[F.lit(u) for u in used])).alias("_at"))
-    placed = placed.withColumn("_cell", grid.cell(F.col("_input"), F.col("_at")))
-    met = spread(asks, [*by, "_at", "_cell"]).join(placed, [*by, "_at", "_cell"])
-    if keep is not None:
-        met = met.where(keep())
-    met = met.select(*by, *key, "id", "result", "_reach", kernels.euclidean(F.col("input"), F.col("_input"), dims).alias("distance"))
-    met = met.where(F.col("distance") <= F.col("_reach"))
-    order = Window.partitionBy(*by, *key).orderBy("distance", "id")
+    cells = [f"_c{i}" for i in range(len(grid.axes))]
+    asks = asks.withColumn("_cell", F.array(*cells)).drop(*cells)
+    met = meeting(asks).select(*by, *key, "id", "result", "_reach", gap).where(F.col("distance") <= F.col("_reach"))
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     # At most k rows per query are left here.
     enough = (F.count("*").over(Window.partitionBy(*by, *key)) == k) | (F.col("_reach") == float("inf"))
