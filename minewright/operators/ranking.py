@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from minewright.session import cut
+
 TINY = 0.00001
 
 
@@ -81,7 +83,8 @@ def location_score(rows: DataFrame) -> DataFrame:
 
 
 def distance_score(rows: DataFrame, words: int) -> DataFrame:
-    scored = distance(rows, words)
+    """``rows`` should be a stored table: the scores are read twice, once for their minimum."""
+    scored = cut(distance(rows, words), "distances")
     return normalized(scored, small_is_better=True) if words > 1 else scored.withColumnRenamed("value", "score")
 
 
