@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm import exact_dedup, jaccard
+from minewright.llm import chat, exact_dedup, jaccard, langid, mixing, packing, toxicity
+from minewright.session import cut
+
+#: The vocabulary of byte_bpe_50k.json as ranks.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,7 +25,34 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents"), n=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op10_ngram_jaccard)}
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    made = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"))
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(made)
+    return chat.digests(cut(chat.format_chats(turns), "chats"))
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents")).drop("copies")
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), RANKS).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return langid.identified(docs, langid.fit(docs))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.graded(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op4_mixing, op5_packing, op8_langid, op9_toxicity, op10_ngram_jaccard)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL = {
@@ -44,4 +76,32 @@ ORACLE_SQL = {
         both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
         reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
         SELECT doc_id, len(s)::BIGINT AS n_shingles, (SELECT min(y) FROM reach WHERE reach.x = sets.doc_id) AS component_id FROM sets""",
+    "op4_mixing": """
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   (('0x' || substr(md5('11|' || coalesce(doc_id::VARCHAR, md5(text), '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+            FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS words, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS w
+              FROM d GROUP BY source),
+        beginnings AS (
+            SELECT *, sum(words) OVER r - words AS s0, sum(w) OVER r - w AS w0, sum(words) OVER () AS sum_s, sum(w) OVER () AS sum_w
+            FROM s WINDOW r AS (ORDER BY words / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+        t AS (SELECT source, words, least(w * (SELECT max((sum_s - 3 * s0) / (sum_w - w0)) FROM beginnings), 3 * words)::DOUBLE AS target FROM s),
+        aims AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END AS whole FROM t),
+        rests AS (SELECT *, target - whole * words AS rest FROM aims),
+        steps AS (SELECT source, floor(log2(size) * 2)::INT AS step, sum(size)::BIGINT AS words FROM d WHERE size > 0 GROUP BY ALL),
+        least_scales AS (
+            SELECT steps.*, (rest - coalesce(sum(steps.words) OVER (p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(pow(2.0, step / 4) * steps.words) OVER (p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS least_scale
+            FROM steps JOIN rests ON steps.source IS NOT DISTINCT FROM rests.source
+            WINDOW p AS (PARTITION BY steps.source ORDER BY step DESC)),
+        chances AS (SELECT source, step, least(1.0, pow(2.0, step / 4) * max(least_scale) OVER (PARTITION BY source)) AS chance FROM least_scales),
+        ranked AS (
+            SELECT d.*, CASE WHEN chance > 0 THEN u / (1 - u) * (1 - chance) / chance END AS rank
+            FROM d LEFT JOIN chances c ON d.source IS NOT DISTINCT FROM c.source AND d.size > 0 AND floor(log2(d.size) * 2)::INT = c.step),
+        placed AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM ranked)
+        SELECT doc_id, size::BIGINT AS size, words AS source_size, target,
+               ((whole + CASE WHEN rank IS NOT NULL AND 2 * ahead + size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+        FROM placed JOIN rests ON placed.source IS NOT DISTINCT FROM rests.source""",
 }
