@@ -40,7 +40,7 @@ class Forest:
 
 
 #: Edges that one task holds before it hands on their spanning forest.
-HELD_EDGES = 1_000_000
+HELD_EDGES = 200_000
 
 
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,11 +17,11 @@ from minewright.session import cut
 #: Frequent n-grams that the order knows; it only decides which n-grams are looked at first.
 ORDERED = 1 << 18
 #: Documents of a candidate n-gram, and n-grams of a candidate group, that meet in one task at once.
-BLOCK_DOCS, BLOCK_SHINGLES = 4096, 4_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1_000_000
 #: Counters of the profile that bounds two sets' difference from below.
 PROFILE = 64
 #: N-grams that a task holds at once.
-HELD = 2_000_000
+HELD = 500_000
 
 
 def _flushed(batches: Iterator[pa.RecordBatch], n: int, flush) -> Iterator[pa.RecordBatch]:

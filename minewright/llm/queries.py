@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm import chat, exact_dedup, jaccard, langid, mixing, packing, toxicity
+from minewright.llm import chat, exact_dedup, jaccard, langid, mixing, packing, pii, simhash, toxicity
+from minewright.llm.batches import bounded_batches
 from minewright.session import cut
 
 #: The vocabulary of byte_bpe_50k.json as ranks.
@@ -14,6 +15,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -42,6 +44,14 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.edited_and_next(_table(spark, folder, "documents"))
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
 def op8_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identified(docs, langid.fit(docs))
@@ -52,7 +62,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.graded(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op4_mixing, op5_packing, op8_langid, op9_toxicity, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity, op10_ngram_jaccard)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL = {
