@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm import chat, exact_dedup, jaccard, langid, mixing, packing, pii, simhash, toxicity
+from minewright.llm import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, pii, simhash, toxicity
 from minewright.llm.batches import bounded_batches
 from minewright.session import cut
 
@@ -35,6 +35,11 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(cut(chat.format_chats(turns), "chats"))
 
 
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return html_extract.extracted(pages, html_extract.fit(pages)).drop("n_blocks", "n_kept")
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents")).drop("copies")
 
@@ -62,7 +67,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.graded(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op3_html, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity, op10_ngram_jaccard)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL = {
