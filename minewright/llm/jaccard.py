@@ -370,7 +370,8 @@ def _decided(docs: DataFrame, n: int, percent: int, id_column: str, text_column:
         "vertex", "n", F.col("root").alias("component")), "wanted")
     blocks = wanted.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"))
     meeting = _blocked(wanted.join(blocks, "component"), "component", "blocks", "vertex")
-    links = (source.select("row", "text").join(meeting, F.col("row") == F.col("vertex"))
+    # Both sides grow with the corpus, so this is planned as a shuffled join whatever the size.
+    links = (source.select("row", "text").join(meeting.hint("merge"), F.col("row") == F.col("vertex"))
              .select("component", "left", "right", "vertex", "text")
              .repartition(parts, "component", "left", "right").sortWithinPartitions("component", "left", "right")
              .mapInArrow(_joined(n, percent), "a long, b long"))
