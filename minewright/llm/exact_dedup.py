@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import rereadable, unused
+
 #: Bytes of labels that a trie holds before it hands on its finished subtrees.
 TRIE_BYTES = 32 << 20
 
@@ -188,14 +190,15 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     A null text counts as empty; the empty text is a text like others. A null id ranks behind all ids and
     stays only in a group without ids. Of repeated rows (same id and text) one is kept. Other columns are not
-    read; an empty table gives an empty result. The input must give the same rows when it is read again.
+    read; an empty table gives an empty result.
     """
-    return _decided(docs, id_column, text_column, keep, trie_bytes).select(
+    return _decided(rereadable(docs), id_column, text_column, keep, trie_bytes).select(
         F.col("id").alias(id_column), "keep_id", "group_size", "kept", "text_sha256")
 
 
 def without_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest",
                        trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """The rows that ``exact_duplicates`` keeps, with all their columns."""
-    kept = _decided(docs, id_column, text_column, keep, trie_bytes).where("kept").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").drop("_row")
+    docs, row = rereadable(docs), unused(docs, "row")
+    kept = _decided(docs, id_column, text_column, keep, trie_bytes).where("kept").select(F.col("row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").drop(row)

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import rereadable, unused
 from minewright.llm.components import Forest, components
 from minewright.llm.words import mixed, shingle_sets
 from minewright.session import cut
@@ -405,9 +406,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column
     Texts with fewer than n words have their whole sequence as one shingle. Null, empty and blank texts have 0
     shingles, link with nothing and carry their own id. A null id takes part but never names a component that has
     another. Repeated rows are equal sets. Other columns are not read; an empty table gives an empty result.
-    The input must give the same rows when it is read again.
     """
-    return _decided(docs, n, percent, id_column, text_column, ordered, block_docs, block_shingles).select(
+    return _decided(rereadable(docs), n, percent, id_column, text_column, ordered, block_docs, block_shingles).select(
         F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
 
 
@@ -416,7 +416,9 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_column: str =
 
     Every text without words stays: it is linked with nothing.
     """
+    docs = rereadable(docs)
     found = _decided(docs, n, percent, id_column, text_column, ORDERED, BLOCK_DOCS, BLOCK_SHINGLES)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    stays = found.groupBy("component").agg(F.min_by("row", order).alias("_row")).select("_row")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(stays, "_row", "left_semi").drop("_row")
+    row = unused(docs, "row")
+    stays = found.groupBy("component").agg(F.min_by("row", order).alias(row)).select(row)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(stays, row, "left_semi").drop(row)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import rereadable, unused
 from minewright.operators.ranks import numbered, running_totals
 from minewright.session import cut
 
@@ -109,7 +110,9 @@ def _mixed(docs, weights, most, seed, id_column, text_column, source_column) ->
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 11, id_column: str = "doc_id",
             text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The rows of the mix with all their columns, each as often as it is taken."""
+    docs = rereadable(docs)
+    row, copies = unused(docs, "row"), unused(docs, "copies")
     chosen = _mixed(docs, weights, most, seed, id_column, text_column, source_column).where("copies > 0").select(
-        F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    return (docs.withColumn("_row", F.monotonically_increasing_id()).join(chosen, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns))
+        F.col("row").alias(row), F.col("copies").alias(copies))
+    return (docs.withColumn(row, F.monotonically_increasing_id()).join(chosen, row)
+            .withColumn(row, F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop(row, copies))

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import rereadable
 from minewright.session import cut
 
 # The base kinds in their order. A run is entered at its first character only (or where the
@@ -172,7 +173,7 @@ def personal_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Labelers vote on every candidate of the corpus; the counts of the distinct vote and feature rows, a table of
     bounded size, train EM and classifier on the driver.
     """
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
+    texts = rereadable(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
                         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     tables = [(kind, "base", pattern, "@" if kind == "email" else "[0-9]") for kind, pattern in BASE.items()]
     tables += [(kind, "wider", pattern, needs) for kind, (pattern, needs) in WIDER.items()]

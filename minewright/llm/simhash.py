@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import rereadable
 from minewright.operators.pairs import spread_join
 from minewright.operators.ranks import numbered
 from minewright.session import cut
@@ -77,7 +78,7 @@ def edited_and_next(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A null text counts as empty. Null ids come last and equal ids follow in the order of the table; repeated rows are rows
     each. Other columns are not read; an empty table gives an empty result; a single row is its own next one.
     """
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
+    texts = rereadable(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
                         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     places = numbered(texts.select("row", "id", F.length("text").alias("n_chars")).withColumn("all", F.lit(0))
                       .withColumn("unknown", F.col("id").isNull().cast("int")).withColumn("down", -F.col("id")), ["all"], ["unknown", "down", "row"], "place")

@@ -15,6 +15,8 @@ from minewright.llm.words import IS_SPACE, LOWER, chunks, span_hashes, word_span
 #: Labelled rows per label that the model is fitted on, and buckets of hashed words.
 FIT_ROWS, BUCKETS = 4000, 1 << 20
 GRADES = 4
+#: Weight under the L1 penalty from which a term is picked.
+PICKED = 0.25
 #: Everything in ASCII that is no letter or digit ends a word.
 ENDS = IS_SPACE.copy()
 ENDS[[c for c in range(128) if not chr(c).isalnum()]] = True
@@ -81,12 +83,20 @@ def grades_of(toxic: np.ndarray, rows: np.ndarray, terms: np.ndarray, buckets: i
 
 def fit_ordinal(grades: np.ndarray, rows: np.ndarray, terms: np.ndarray, buckets: int = BUCKETS, penalty: float = 2e-3,
                 rounds: int = 300) -> OrdinalModel:
-    """Proportional odds by accelerated proximal gradient steps with an L1 penalty on the weights."""
+    """Proportional odds with an L1 penalty, which picks the terms, and again on those terms almost without a penalty,
+    which gives each its full weight."""
+    picked = _fitted(grades, rows, terms, buckets, penalty, rounds)
+    chosen = np.isin(terms, picked.buckets[np.abs(picked.weights) >= PICKED])
+    return _fitted(grades, rows[chosen], terms[chosen], buckets, penalty / 100, rounds)
+
+
+def _fitted(grades: np.ndarray, rows: np.ndarray, terms: np.ndarray, buckets: int, penalty: float, rounds: int) -> OrdinalModel:
+    """Accelerated proximal gradient steps."""
     used, column = np.unique(terms, return_inverse=True)
     n = len(grades)
     wanted = (grades[:, None] > np.arange(GRADES - 1)).astype(float)
     per_row = np.bincount(rows, minlength=n)
-    step = 4.0 / max(1.0, np.quantile(per_row, 0.9)) if n else 1.0
+    step = 4.0 / max(1.0, np.quantile(per_row, 0.9)) if len(rows) else 1.0
     weights, thresholds = np.zeros(len(used)), np.arange(GRADES - 1) + 1.0
     ahead, ahead_t, speed = weights, thresholds, 1.0
     for _ in range(rounds):
