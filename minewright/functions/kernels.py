@@ -8,12 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _fold(values: Column) -> Column:
+def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
 
 
 def dot(a: Column, b: Column) -> Column:
-    return _fold(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
+    return total(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
 
 
 def squared_length(a: Column) -> Column:
@@ -23,7 +23,7 @@ def squared_length(a: Column) -> Column:
 def squared_distance(a: Column, b: Column, dims: int | None = None) -> Column:
     """Summed squared differences; spelled out per dimension when the length is known."""
     if dims is None:
-        return _fold(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)))
+        return total(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)))
     gaps = [F.get(a, F.lit(i)).cast("double") - F.get(b, F.lit(i)).cast("double") for i in range(dims)]
     return reduce(lambda s, g: s + g, [g * g for g in gaps])
 

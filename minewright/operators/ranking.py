@@ -20,13 +20,15 @@ def match_rows(found: DataFrame, query: DataFrame) -> DataFrame:
     """Positions on the pages that hold every known query word, as ``url, word_no, word, location``.
 
     This is the factorised form of the position combinations: a page with 100 and 200 positions
-    is 300 rows here, not 20,000, and every score below is exact on it. Unknown words are ignored.
+    is 300 rows here, not 20,000, and every score below is exact on it. Words on no page are ignored:
+    the others are numbered from 0 without gaps, in the order of the query.
     """
     hits = found.join(F.broadcast(query), "word")
-    known = hits.agg(F.count_distinct("word_no")).scalar()
+    known = hits.agg(F.array_sort(F.collect_set("word_no"))).scalar()  # at most the words of the query
     full = (hits.groupBy("url").agg(F.count_distinct("word_no").alias("n"))
-            .where(F.col("n") == known).select("url"))
-    return hits.join(full, "url", "left_semi").select("url", "word_no", "word", "location")
+            .where(F.col("n") == F.size(known)).select("url"))
+    number = (F.array_position(known, F.col("word_no")) - 1).cast("int").alias("word_no")
+    return hits.join(full, "url", "left_semi").select("url", number, "word", "location")
 
 
 def per_word(rows: DataFrame) -> DataFrame:
@@ -39,18 +41,23 @@ def frequency(rows: DataFrame) -> DataFrame:
     return counts.select("url", F.aggregate("counts", F.lit(1.0), lambda product, n: product * n).alias("value"))
 
 
-def location(rows: DataFrame) -> DataFrame:
-    """Smallest sum of positions: the sum of the first positions, at most a million."""
-    return per_word(rows).groupBy("url").agg(F.least(F.sum("first"), F.lit(1000000)).cast("double").alias("value"))
+def _at_most(value: Column, most: float | None) -> Column:
+    return value if most is None else F.least(value, F.lit(float(most)))
 
 
-def distance(rows: DataFrame, words: int) -> DataFrame:
-    """Smallest sum of gaps between neighbouring query words; 1 for a single word.
+def location(rows: DataFrame, most: float | None = None) -> DataFrame:
+    """Smallest sum of positions: the sum of the first positions; values over ``most`` (if given) count as it."""
+    return per_word(rows).groupBy("url").agg(_at_most(F.sum("first").cast("double"), most).alias("value"))
+
+
+def distance(rows: DataFrame, most: float | None = None) -> DataFrame:
+    """Smallest sum of gaps between neighbouring query words; 1 for a single word. Values over ``most`` (if given) count as it.
 
     Word by word, the best cost of ending at each position comes from two sweeps over the page:
     the cheapest earlier position to the left (cost minus place) and to the right (cost plus place).
     """
     steps = rows.select("url", "word_no", F.col("location").cast("double").alias("place"))
+    words = (rows.agg(F.max("word_no")).first()[0] or 0) + 1
     if words < 2:
         return steps.select("url").distinct().withColumn("value", F.lit(1.0))
     best = steps.where("word_no = 0").select("url", "place", F.lit(0.0).alias("cost"))
@@ -62,7 +69,7 @@ def distance(rows: DataFrame, words: int) -> DataFrame:
         best = (best.unionByName(here).select("url", "place", "cost", left.alias("left"), right.alias("right"))
                 .where("cost IS NULL")
                 .select("url", "place", F.least(F.col("left") + F.col("place"), F.col("right") - F.col("place")).alias("cost")))
-    return best.groupBy("url").agg(F.least(F.min("cost"), F.lit(1000000.0)).alias("value"))
+    return best.groupBy("url").agg(_at_most(F.min("cost"), most).alias("value"))
 
 
 def normalized(scores: DataFrame, small_is_better: bool = False) -> DataFrame:
@@ -82,10 +89,9 @@ def location_score(rows: DataFrame) -> DataFrame:
     return normalized(location(rows), small_is_better=True)
 
 
-def distance_score(rows: DataFrame, words: int) -> DataFrame:
-    """``rows`` should be a stored table: the scores are read twice, once for their minimum."""
-    scored = cut(distance(rows, words), "distances")
-    return normalized(scored, small_is_better=True) if words > 1 else scored.withColumnRenamed("value", "score")
+def distance_score(rows: DataFrame) -> DataFrame:
+    """``rows`` should be a stored table: the scores are read twice, once for their minimum. A single word scores 1."""
+    return normalized(cut(distance(rows), "distances"), small_is_better=True)
 
 
 def _filled(pages: DataFrame, values: DataFrame) -> DataFrame:

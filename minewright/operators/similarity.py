@@ -22,17 +22,17 @@ def distance_similarity(x: Column, y: Column) -> Column:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Aggregate: Pearson r from six sums; NULL when either side does not vary."""
+    """Aggregate: Pearson r from six sums; NULL when either side does not vary, measured against its own squares."""
     n = F.count("*")
     spread_x = F.sum(x * x) - F.sum(x) * F.sum(x) / n
     spread_y = F.sum(y * y) - F.sum(y) * F.sum(y) / n
-    flat = (spread_x <= 1e-9 * (1 + F.sum(x * x))) | (spread_y <= 1e-9 * (1 + F.sum(y * y)))
+    flat = (spread_x <= 1e-9 * F.sum(x * x)) | (spread_y <= 1e-9 * F.sum(y * y))
     return F.when(~flat, (F.sum(x * y) - F.sum(x) * F.sum(y) / n) / F.sqrt(spread_x * spread_y))
 
 
 def pearson_centered(x: Column, y: Column) -> Column:
     """Aggregate: the same r from mergeable central moments, stable for large offsets."""
-    flat = (F.var_pop(x) <= 1e-9) | (F.var_pop(y) <= 1e-9)
+    flat = (F.var_pop(x) <= 1e-20 * F.avg(x * x)) | (F.var_pop(y) <= 1e-20 * F.avg(y * y))
     return F.when(~flat, F.covar_pop(x, y) / F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
 

@@ -197,8 +197,8 @@ full_pages AS (SELECT url FROM hits GROUP BY url HAVING count(DISTINCT word_no)
 rows AS (SELECT * FROM hits WHERE url IN (SELECT url FROM full_pages)),
 combos AS (SELECT a.url, a.location AS l0, b.location AS l1 FROM rows a JOIN rows b ON a.url = b.url AND a.word_no = 0 AND b.word_no = 1),
 freq AS (SELECT url, CAST(count(*) AS DOUBLE) AS value FROM combos GROUP BY url),
-loc AS (SELECT url, least(min(l0 + l1), 1000000) AS value FROM combos GROUP BY url),
-dist AS (SELECT url, least(min(abs(l0 - l1)), 1000000) AS value FROM combos GROUP BY url),
+loc AS (SELECT url, min(l0 + l1) AS value FROM combos GROUP BY url),
+dist AS (SELECT url, min(abs(l0 - l1)) AS value FROM combos GROUP BY url),
 freq_score AS (SELECT url, value / (SELECT max(value) FROM freq) AS score FROM freq),
 loc_score AS (SELECT url, (SELECT min(value) FROM loc) / greatest(value, 0.00001) AS score FROM loc),
 dist_score AS (SELECT url, (SELECT min(value) FROM dist) / greatest(value, 0.00001) AS score FROM dist)"""
@@ -249,7 +249,16 @@ def score_location(t: Tables):
 
 @plan("score_distance", f"{QUERY} SELECT url, round(score, 6) AS score FROM dist_score")
 def score_distance(t: Tables):
-    return _scores(ranking.distance_score(Site(t).matches, 2))
+    return _scores(ranking.distance_score(Site(t).matches))
+
+
+@plan("score_distance_unknown", f"{QUERY} SELECT url, round(score, 6) AS score FROM dist_score")
+def score_distance_unknown(t: Tables):
+    """The same query with words that no page has before and between its words: they change nothing."""
+    site = Site(t)
+    asked = site.query.select((2 * F.col("word_no") + 1).alias("word_no"), "word")
+    unknown = asked.select(F.col("word_no") - 1, F.concat(F.lit("0unknown "), "word").alias("word"))
+    return _scores(ranking.distance_score(cut(ranking.match_rows(site.postings, asked.unionByName(unknown.toDF("word_no", "word"))), "matches")))
 
 
 @plan("score_inbound", f"{RANKED} SELECT url, round(score, 6) AS score FROM inbound_score")

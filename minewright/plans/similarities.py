@@ -12,11 +12,11 @@ SHARED = f"""{PREFS}, {NEIGHBOURS}, met AS (
   SELECT p.a, p.b, x.item, x.rating AS x, y.rating AS y FROM pairs p
   JOIN prefs x ON x.person = p.a JOIN prefs y ON y.person = p.b AND y.item = x.item)"""
 
-PEARSON = """CASE WHEN sum(x * x) - sum(x) * sum(x) / count(*) <= 1e-9 * (1 + sum(x * x))
-    OR sum(y * y) - sum(y) * sum(y) / count(*) <= 1e-9 * (1 + sum(y * y)) THEN NULL
+PEARSON = """CASE WHEN sum(x * x) - sum(x) * sum(x) / count(*) <= 1e-9 * sum(x * x)
+    OR sum(y * y) - sum(y) * sum(y) / count(*) <= 1e-9 * sum(y * y) THEN NULL
   ELSE (sum(x * y) - sum(x) * sum(y) / count(*))
     / sqrt((sum(x * x) - sum(x) * sum(x) / count(*)) * (sum(y * y) - sum(y) * sum(y) / count(*))) END"""
-CENTERED = """CASE WHEN var_pop(x) > 1e-9 AND var_pop(y) > 1e-9
+CENTERED = """CASE WHEN var_pop(x) > 1e-20 * avg(x * x) AND var_pop(y) > 1e-20 * avg(y * y)
   THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END"""
 DISTANCE = "1 / (1 + sum((x - y) * (x - y)))"
 

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a session without that setting on a local master (a test) gets a folder of its own; on a cluster that
+    would be one machine's disk, so it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="minewright-"))
     return context.getCheckpointDir().rstrip("/")
