@@ -82,17 +82,18 @@ def edited_and_next(docs: DataFrame, id_column: str = "doc_id", text_column: str
                         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     places = numbered(texts.select("row", "id", F.length("text").alias("n_chars")).withColumn("all", F.lit(0))
                       .withColumn("unknown", F.col("id").isNull().cast("int")).withColumn("down", -F.col("id")), ["all"], ["unknown", "down", "row"], "place")
-    places = places.select("row", "place", (F.col("n_chars") / 2).cast("long").alias("need"))
-    follow = (places.select("row", "need", F.col("place").alias("at")).join(
+    places = places.select("row", "id", "place", (F.col("n_chars") / 2).cast("long").alias("need"))
+    follow = (places.select(F.col("row").alias("of"), "id", "need", F.col("place").alias("at")).join(
         places.select(F.col("row").alias("next_row"), (F.col("place") - 1).alias("at")), "at", "left"))
     row_of_first = places.where("place = 0").select("row").first()
     follow = follow.withColumn("next_row", F.coalesce("next_row", F.lit(row_of_first[0] if row_of_first else None).cast("long")))
-    beginnings = (texts.select(F.col("row").alias("next_row"), "text").join(follow.select("next_row", F.col("row").alias("of"), "need"), "next_row")
-                  .select(F.col("of").alias("row"), "need", "next_row", F.expr("left(text, cast(need as int))").alias("beginning")))
-    n_chars = F.length("text")
+    # Both joins shuffle the same two columns by row, so the texts move once.
+    whole = texts.select("row", "text")
+    beginnings = (whole.join(follow, F.col("row") == F.col("next_row"))
+                  .select("of", "id", "need", "next_row", F.expr("left(text, cast(need as int))").alias("beginning")))
     edited = F.concat(F.expr("left(text, cast(length(text) - need as int))"), "beginning")
-    both = (texts.join(beginnings, "row").withColumn("n_chars", n_chars.cast("long")).withColumn("edited", edited)
-            .withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)))
+    both = (whole.join(beginnings, F.col("row") == F.col("of")).withColumn("n_chars", F.length("text").cast("long"))
+            .withColumn("edited", edited).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)))
     keys = ["row", "id", "n_chars", "edited_sha256", "next_row"]
     forms = both.select(*keys, F.inline(F.array(F.struct(F.lit(0).alias("form"), F.col("text").alias("text")),
                                                 F.struct(F.lit(1).alias("form"), F.col("edited").alias("text")))))
