@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from minewright.session import cut
@@ -18,6 +19,16 @@ def bounded_batches(spark: SparkSession, rows: int = ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def lean(run):
+    """``run`` for mapInArrow, after which a worker gives the memory that Arrow has pooled back."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -17,7 +17,7 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 #: White space of the tokenizers' word pattern.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Words that the table of one worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 @lru_cache(1)

@@ -71,8 +71,8 @@ def components(edges: DataFrame) -> DataFrame:
     combined before the shuffle, so a vertex with very many edges is one row per task. Null ends and
     loops are ignored; an empty table gives an empty result.
     """
-    clean = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
-    links = cut(clean.mapInArrow(_contracted, "a long, b long").distinct(), "links")
+    apart = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
+    links = cut(apart.mapInArrow(_contracted, "a long, b long").distinct(), "links")
     while True:
         links = cut(_small_star(_large_star(links)), "links")
         # At rest every edge leads to a vertex that has no smaller neighbour: a set of stars.

@@ -10,10 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minewright.llm.batches import rereadable, unused
+from minewright.llm.batches import lean, rereadable, unused
 
 #: Bytes of labels that a trie holds before it hands on its finished subtrees.
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 16 << 20
 
 
 class Node:
@@ -170,10 +170,10 @@ def _decided(docs: DataFrame, id_column: str, text_column: str, keep: str, trie_
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
                        F.col(text_column).cast("string").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    owners = (rows.mapInArrow(_local_owners(better), "id long, row long, n long, length long, hash binary, key binary")
+    owners = (rows.mapInArrow(lean(_local_owners(better)), "id long, row long, n long, length long, hash binary, key binary")
               .repartition(parts, "length", "hash").sortWithinPartitions("key")
-              .mapInArrow(_trie_owners(better, trie_bytes), "local long, keep_id long, keep_row long, group_size long"))
-    return (rows.mapInArrow(_rows(better), "id long, row long, local long, text_sha256 string").join(owners, "local")
+              .mapInArrow(lean(_trie_owners(better, trie_bytes)), "local long, keep_id long, keep_row long, group_size long"))
+    return (rows.mapInArrow(lean(_rows(better)), "id long, row long, local long, text_sha256 string").join(owners, "local")
             .withColumn("kept", F.col("row") == F.col("keep_row")))
 
 

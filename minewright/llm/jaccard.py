@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minewright.llm.batches import rereadable, unused
+from minewright.llm.batches import lean, rereadable, unused
 from minewright.llm.components import Forest, components
 from minewright.llm.words import mixed, shingle_sets
 from minewright.session import cut
@@ -22,7 +22,7 @@ BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1_000_000
 #: Counters of the profile that bounds two sets' difference from below.
 PROFILE = 64
 #: N-grams that a task holds at once.
-HELD = 500_000
+HELD = 300_000
 
 
 def _flushed(batches: Iterator[pa.RecordBatch], n: int, flush) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,7 @@ def frequent_ngrams(texts: DataFrame, n: int, most: int = ORDERED) -> tuple[np.n
     Counted over all documents, but only where two documents of one task share them. The table serves as an
     order, nothing depends on its counts being exact.
     """
-    counts = cut(texts.select("text").mapInArrow(_repeats(n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = cut(texts.select("text").mapInArrow(lean(_repeats(n)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
                  .where("n >= 4"), "ngrams")
     level = F.floor(F.log2("n") * 4).cast("int")
     floor, room = None, most
@@ -216,7 +216,7 @@ def _profiled(percent: int):
             for size in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
                 i, j = np.triu_indices(size, 1)
                 of = starts[:-1][sizes == size]
-                step = max(1, 100_000 // len(i))
+                step = max(1, 20_000 // len(i))
                 for at in range(0, len(of), step):
                     base = of[at:at + step, None]
                     for a, b in zip(*possible(p, n, (base + i).ravel(), (base + j).ravel())):
@@ -352,7 +352,7 @@ def _decided(docs: DataFrame, n: int, percent: int, id_column: str, text_column:
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"),
                          F.col(text_column).cast("string").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_ngrams(source, n, ordered))
-    sketch = cut(source.mapInArrow(_sketched(n, percent, frequent), ", ".join(f"{c} {kind}" for c, (kind, _) in SKETCH.items())), "sketch")
+    sketch = cut(source.mapInArrow(lean(_sketched(n, percent, frequent)), ", ".join(f"{c} {kind}" for c, (kind, _) in SKETCH.items())), "sketch")
     rows = sketch.where("kind = 0").select("row", "doc_id", "high", "low", "n")
     vertices = cut(sketch.where("kind = 0 and n > 0").groupBy("high", "low")
                    .agg(F.min("doc_id").alias("low_id"), F.min("n").alias("n"), F.min(F.struct("row", "profile")).alias("c"))
@@ -364,8 +364,9 @@ def _decided(docs: DataFrame, n: int, percent: int, id_column: str, text_column:
     met = entries.join(shared, "token").distinct().join(vertices.select("high", "n", "profile"), "high")
     edges = (_blocked(met, "token", "blocks", "high").select("token", "left", "right", "high", "n", "profile")
              .repartition(parts, "token", "left", "right").sortWithinPartitions("token", "left", "right")
-             .mapInArrow(_profiled(percent), "a long, b long"))
-    candidates = components(edges)
+             .mapInArrow(lean(_profiled(percent)), "a long, b long"))
+    # Written before the next Python step: two in one stage would keep twice as many workers in memory.
+    candidates = components(cut(edges, "edges"))
 
     wanted = cut(vertices.join(candidates, F.col("high") == F.col("id")).select(
         "vertex", "n", F.col("root").alias("component")), "wanted")
@@ -375,8 +376,8 @@ def _decided(docs: DataFrame, n: int, percent: int, id_column: str, text_column:
     links = (source.select("row", "text").join(meeting.hint("merge"), F.col("row") == F.col("vertex"))
              .select("component", "left", "right", "vertex", "text")
              .repartition(parts, "component", "left", "right").sortWithinPartitions("component", "left", "right")
-             .mapInArrow(_joined(n, percent), "a long, b long"))
-    found = components(links)
+             .mapInArrow(lean(_joined(n, percent)), "a long, b long"))
+    found = components(cut(links, "spans"))
 
     named = cut(vertices.select("high", "low", "low_id", F.col("vertex").alias("id")).join(found, "id", "left"), "named")
     lowest = named.where("root is not null").groupBy("root").agg(F.min("low_id").alias("component_id"))

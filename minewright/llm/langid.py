@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import lean
 from minewright.llm.words import chunks
 
 #: Documents per language that the trees are grown on, and the bytes of context.
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Trees:
     chosen = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= fit_docs).select("doc_id", "lang").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     found = (texts.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")  # fit_docs per language at most
-             .mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
+             .mapInArrow(lean(_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(set(found["lang"]))
     if not languages:
         return Trees([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
@@ -168,4 +169,4 @@ def identified(docs: DataFrame, trees: Trees, id_column: str = "doc_id", text_co
 
     id_ = F.col(id_column).cast("long")
     texts = docs.select(id_.alias("id"), held_out(id_).alias("held_out"), F.col(text_column).cast("string").alias("text"))
-    return texts.mapInArrow(run, f"`{id_column}` long, held_out boolean, lang_pred string, score double, bits_per_byte double")
+    return texts.mapInArrow(lean(run), f"`{id_column}` long, held_out boolean, lang_pred string, score double, bits_per_byte double")

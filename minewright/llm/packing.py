@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import lean
 from minewright.llm.bpe import encoder
 
 #: The id after each document.
@@ -188,4 +189,4 @@ def pack(docs: DataFrame, ranks_path: str, width: int = 1024, id_column: str = "
     ``width`` takes several sequences. Other columns are not read; an empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return texts.mapInArrow(_packing(ranks_path, width), ", ".join(f"{c} {kind}" for c, kind in PIECES.items())).withColumnRenamed("doc_id", id_column)
+    return texts.mapInArrow(lean(_packing(ranks_path, width)), ", ".join(f"{c} {kind}" for c, kind in PIECES.items())).withColumnRenamed("doc_id", id_column)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from minewright.llm.batches import lean
 from minewright.llm.words import IS_SPACE, LOWER, chunks, span_hashes, word_spans
 
 #: Labelled rows per label that the model is fitted on, and buckets of hashed words.
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, buckets: i
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = (texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # two times fit_rows at most
-             .mapInArrow(_fit_terms(buckets), "toxic int, terms array<int>").toPandas())
+             .mapInArrow(lean(_fit_terms(buckets)), "toxic int, terms array<int>").toPandas())
     toxic = found["toxic"].to_numpy(np.int64)
     if not (toxic == 1).any() or not (toxic == 0).any():
         return OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, 60.0), buckets)
@@ -155,7 +156,7 @@ def graded(docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text
                                              names=[id_column, "severity", "p_toxic", "grade", "toxic"])
 
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return texts.mapInArrow(run, f"`{id_column}` long, severity double, p_toxic double, grade int, toxic boolean")
+    return texts.mapInArrow(lean(run), f"`{id_column}` long, severity double, p_toxic double, grade int, toxic boolean")
 
 
 def clean(docs: DataFrame, model: OrdinalModel, text_column: str = "text") -> DataFrame:
@@ -168,4 +169,4 @@ def clean(docs: DataFrame, model: OrdinalModel, text_column: str = "text") -> Da
             texts = batch.column(batch.schema.get_field_index(text_column)).cast(pa.string())
             yield batch.filter(pa.array(model.above(model.scores(texts))[:, 0] < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

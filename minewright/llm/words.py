@@ -20,7 +20,7 @@ _LETTERS = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.ui
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def chunks(column: pa.Array | pa.ChunkedArray, most_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array | pa.ChunkedArray, most_bytes: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, offsets, bytes)`` of consecutive rows with about ``most_bytes`` together; a null is empty.
 
     A row is never divided: a longer one makes a chunk of its own.
@@ -116,7 +116,7 @@ def shingle_hashes(words: np.ndarray, per_row: np.ndarray, n: int) -> tuple[np.n
     return hashes, rows
 
 
-def shingle_sets(column: pa.Array, n: int, most_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def shingle_sets(column: pa.Array, n: int, most_bytes: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(row, hashes, lengths)`` per row with words: its distinct n-word shingles, A-Z lower-cased.
 
     Hashes ascend; ``lengths`` has the bytes from a shingle's first word to its last.
