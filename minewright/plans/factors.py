@@ -34,24 +34,30 @@ def volume_matrix(t: Tables):
     return factor.aligned(volumes(t), "ticker", "date").select("date", "ticker", "volume")
 
 
-def step_oracle(source, k):
+def rounds_oracle(source, k, rounds=1):
+    """``w{rounds}`` and ``h{rounds}``: the updates spelled out round by round."""
     def unit(key, side):
         return f"(('0x' || substr(md5({key} || '-{side}' || a), 1, 7))::BIGINT + 1) / 268435457.0::DOUBLE"
 
-    return f"""m AS MATERIALIZED ({source}),
+    parts = [f"""m AS MATERIALIZED ({source}),
 w0 AS MATERIALIZED (SELECT i, a, {unit('i', 'w')} AS w FROM (SELECT DISTINCT i FROM m), (SELECT unnest(range({k})) AS a)),
-h0 AS MATERIALIZED (SELECT j, a, {unit('j', 'h')} AS h FROM (SELECT DISTINCT j FROM m), (SELECT unnest(range({k})) AS a)),
-gw AS (SELECT p.a, q.a AS b, sum(p.w * q.w) AS g FROM w0 p JOIN w0 q USING (i) GROUP BY p.a, q.a),
-ph AS (SELECT j, a, sum(v * w) AS pull FROM m JOIN w0 USING (i) GROUP BY j, a),
-sh AS (SELECT j, g.a, sum(g * h) AS spread FROM h0 JOIN gw g ON g.b = h0.a GROUP BY j, g.a),
-h1 AS MATERIALIZED (SELECT j, a, coalesce(h * pull / nullif(spread, 0), 0) AS h FROM h0 JOIN ph USING (j, a) JOIN sh USING (j, a)),
-gh AS (SELECT p.a, q.a AS b, sum(p.h * q.h) AS g FROM h1 p JOIN h1 q USING (j) GROUP BY p.a, q.a),
-pw AS (SELECT i, a, sum(v * h) AS pull FROM m JOIN h1 USING (j) GROUP BY i, a),
-sw AS (SELECT i, g.a, sum(g * w) AS spread FROM w0 JOIN gh g ON g.b = w0.a GROUP BY i, g.a),
-w1 AS MATERIALIZED (SELECT i, a, coalesce(w * pull / nullif(spread, 0), 0) AS w FROM w0 JOIN pw USING (i, a) JOIN sw USING (i, a))"""
+h0 AS MATERIALIZED (SELECT j, a, {unit('j', 'h')} AS h FROM (SELECT DISTINCT j FROM m), (SELECT unnest(range({k})) AS a))"""]
+    for r in range(rounds):
+        n = r + 1
+        parts.append(f"""gw{n} AS (SELECT p.a, q.a AS b, sum(p.w * q.w) AS g FROM w{r} p JOIN w{r} q USING (i) GROUP BY p.a, q.a),
+ph{n} AS (SELECT j, a, sum(v * w) AS pull FROM m JOIN w{r} USING (i) GROUP BY j, a),
+sh{n} AS (SELECT j, g.a, sum(g * h) AS spread FROM h{r} JOIN gw{n} g ON g.b = h{r}.a GROUP BY j, g.a),
+h{n} AS MATERIALIZED (SELECT j, a, coalesce(h * pull / nullif(spread, 0), 0) AS h FROM h{r} JOIN ph{n} USING (j, a) JOIN sh{n} USING (j, a)),
+gh{n} AS (SELECT p.a, q.a AS b, sum(p.h * q.h) AS g FROM h{n} p JOIN h{n} q USING (j) GROUP BY p.a, q.a),
+pw{n} AS (SELECT i, a, sum(v * h) AS pull FROM m JOIN h{n} USING (j) GROUP BY i, a),
+sw{n} AS (SELECT i, g.a, sum(g * w) AS spread FROM w{r} JOIN gh{n} g ON g.b = w{r}.a GROUP BY i, g.a),
+w{n} AS MATERIALIZED (SELECT i, a, coalesce(w * pull / nullif(spread, 0), 0) AS w FROM w{r} JOIN pw{n} USING (i, a) JOIN sw{n} USING (i, a))""")
+    return ",\n".join(parts)
 
 
-VOLUME_STEP = f"{VOLUMES}, {step_oracle('SELECT date AS i, ticker AS j, volume AS v FROM aligned', 5)}"
+VOLUME_CELLS = "SELECT date AS i, ticker AS j, volume AS v FROM aligned"
+VOLUME_STEP = f"{VOLUMES}, {rounds_oracle(VOLUME_CELLS, 5)}"
+VOLUME_ROUNDS = f"{VOLUMES}, {rounds_oracle(VOLUME_CELLS, 5, 50)}"
 
 
 def first_step(cells, k):
@@ -91,51 +97,67 @@ def titles(t: Tables):
 
 
 TOPICS = 10
-ARTICLE_STEP = f"""{ARTICLES}, {step_oracle('SELECT doc_id AS i, word AS j, n::DOUBLE AS v FROM article_matrix', TOPICS)},
+ARTICLE_ROUNDS = f"""{ARTICLES}, {rounds_oracle('SELECT doc_id AS i, word AS j, n::DOUBLE AS v FROM article_matrix', TOPICS, 50)},
 top_words AS (
   SELECT a, string_agg(j, ' ' ORDER BY rank) AS words FROM (
-    SELECT a, j, row_number() OVER (PARTITION BY a ORDER BY h DESC, j DESC) AS rank FROM h1) WHERE rank <= 6 GROUP BY a),
-titled AS (SELECT title, a, w FROM w1 JOIN articles ON doc_id = i)"""
+    SELECT a, j, row_number() OVER (PARTITION BY a ORDER BY h DESC, j DESC) AS rank FROM h50) WHERE rank <= 6 GROUP BY a),
+titled AS (SELECT title, a, w FROM w50 JOIN articles ON doc_id = i)"""
 
 
-@plan("nmf")
+_finished: dict = {}
+
+
+def finished_topics(t: Tables):
+    """W and H of the articles after all rounds: the topic reports of one session share them."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _finished:
+        _finished[key] = factor.factorize(article_cells(t), TOPICS)
+    return _finished[key]
+
+
+@plan("nmf", f"""WITH {ARTICLE_ROUNDS}
+SELECT 'w' AS side, i::VARCHAR AS key, CAST(a AS INT) AS factor, round(w, 4) AS weight FROM w50
+UNION ALL SELECT 'h', j, CAST(a AS INT), round(h, 4) FROM h50""")
 def nmf(t: Tables):
-    w, h = factor.factorize(article_cells(t), TOPICS, rounds=5)
-    return _sides(w, h)
+    return _sides(*finished_topics(t)).withColumn("weight", F.round("weight", 4))
 
 
-@plan("topic_words", f"WITH {ARTICLE_STEP} SELECT CAST(a AS INT) AS factor, words FROM top_words")
+@plan("topic_words", f"WITH {ARTICLE_ROUNDS} SELECT CAST(a AS INT) AS factor, words FROM top_words")
 def topic_words(t: Tables):
-    return factor.topic_words(first_step(article_cells(t), TOPICS)[2])
+    return factor.topic_words(finished_topics(t)[1])
 
 
-@plan("topic_titles", f"""WITH {ARTICLE_STEP}
-SELECT CAST(a AS INT) AS factor, CAST(rank AS INT) AS rank, title, round(w, 6) AS weight FROM (
+@plan("topic_titles", f"""WITH {ARTICLE_ROUNDS}
+SELECT CAST(a AS INT) AS factor, CAST(rank AS INT) AS rank, title, round(w, 4) AS weight FROM (
   SELECT *, row_number() OVER (PARTITION BY a ORDER BY w DESC, title DESC) AS rank FROM titled) WHERE rank <= 3""")
 def topic_titles(t: Tables):
-    _, w, _ = first_step(article_cells(t), TOPICS)
-    return factor.topic_titles(w, titles(t)).withColumn("weight", F.round("weight", 6))
+    w, _ = finished_topics(t)
+    return factor.topic_titles(w, titles(t)).withColumn("weight", F.round("weight", 4))
 
 
-@plan("article_topics", f"""WITH {ARTICLE_STEP}
-SELECT title, CAST(rank AS INT) AS rank, round(w, 6) AS weight, words FROM (
+@plan("article_topics", f"""WITH {ARTICLE_ROUNDS}
+SELECT title, CAST(rank AS INT) AS rank, round(w, 4) AS weight, words FROM (
   SELECT *, row_number() OVER (PARTITION BY title ORDER BY w DESC, a DESC) AS rank FROM titled) JOIN top_words USING (a) WHERE rank <= 3""")
 def article_topics(t: Tables):
-    _, w, h = first_step(article_cells(t), TOPICS)
-    return factor.article_topics(w, h, titles(t)).withColumn("weight", F.round("weight", 6))
+    w, h = finished_topics(t)
+    return factor.article_topics(w, h, titles(t)).withColumn("weight", F.round("weight", 4))
 
 
 @plan("tfidf_topics")
 def tfidf_topics(t: Tables):
     cells = tfidf_weights(t).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("weight").alias("v"))
-    _, h = factor.factorize(cells, TOPICS, rounds=5)
+    _, h = factor.factorize(cells, TOPICS)
     return factor.top_keys(h, "j", "h", 20)
 
 
-@plan("volume_factors")
+@plan("volume_factors", f"""WITH {VOLUME_ROUNDS}
+SELECT CAST(a AS INT) AS factor, 'ticker' AS side, CAST(rank AS INT) AS rank, j AS key, round(h, 4) AS weight FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY h DESC, j DESC) AS rank FROM h50) WHERE rank <= 12
+UNION ALL SELECT CAST(a AS INT), 'date', CAST(rank AS INT), i, round(w, 4) FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY w DESC, i DESC) AS rank FROM w50) WHERE rank <= 3""")
 def volume_factors(t: Tables):
     """Per factor the twelve strongest brands and the three strongest months."""
-    w, h = factor.factorize(volume_cells(t), 5, rounds=10)
+    w, h = factor.factorize(volume_cells(t), 5)
     brands = factor.top_keys(h, "j", "h", 12).select("factor", F.lit("ticker").alias("side"), "rank", F.col("j").alias("key"), "weight")
     months = factor.top_keys(w, "i", "w", 3).select("factor", F.lit("date").alias("side"), "rank", F.col("i").alias("key"), "weight")
-    return brands.unionByName(months)
+    return brands.unionByName(months).withColumn("weight", F.round("weight", 4))
