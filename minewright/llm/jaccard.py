@@ -19,8 +19,8 @@ from minewright.session import cut
 ORDERED = 1 << 18
 #: Documents of a candidate n-gram, and n-grams of a candidate group, that meet in one task at once.
 BLOCK_DOCS, BLOCK_SHINGLES = 4096, 1_000_000
-#: Counters of the profile that bounds two sets' difference from below.
-PROFILE = 64
+#: Counters of the profile that bounds two sets' difference from below: one for 8 n-grams, rounded up to a power of two in this range.
+PROFILE, FINEST = 64, 4096
 #: N-grams that a task holds at once.
 HELD = 300_000
 
@@ -75,6 +75,17 @@ def frequent_ngrams(texts: DataFrame, n: int, most: int = ORDERED) -> tuple[np.n
     return tokens[order], n_docs[order]
 
 
+def profile_of(hashes: np.ndarray) -> bytes:
+    """How many n-grams fall to each counter, 16 bits each. Half the counters: fold the upper half onto the lower."""
+    counters = min(FINEST, max(PROFILE, 1 << (max(1, len(hashes) // 8) - 1).bit_length()))
+    return np.minimum(np.bincount((hashes & np.uint64(counters - 1)).astype(np.int64), minlength=counters), 65535).astype("<u2").tobytes()
+
+
+def folded(profile: bytes, counters: int) -> np.ndarray:
+    fine = np.frombuffer(profile, "<u2").astype(np.int32)
+    return fine.reshape(-1, counters).sum(0) if len(fine) > counters else fine
+
+
 def _prefix(size: int, percent: int) -> int:
     """So many n-grams, first in the order, of which two linked sets must share one."""
     return size - (percent * size + 99) // 100 + 1
@@ -89,7 +100,7 @@ def _sketched(n: int, percent: int, frequent):
         for batch, row, hashes, lengths in held:
             rehashed = mixed(hashes)
             name = (int(np.bitwise_xor.reduce(rehashed)), int(rehashed.sum(dtype=np.uint64)))
-            sets.append((id(batch), row, name, len(hashes), np.bincount(hashes & np.uint64(PROFILE - 1), minlength=PROFILE)))
+            sets.append((id(batch), row, name, len(hashes), profile_of(hashes)))
             if name in seen:
                 continue
             seen.add(name)
@@ -104,10 +115,9 @@ def _sketched(n: int, percent: int, frequent):
             for c in columns:
                 columns[c].append(batch.column(c).take(rows))
         names = np.array([s[2] for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
-        profiles = np.minimum(np.array([s[4] for s in sets]), 65535).astype(np.uint16)
         count = len(sets)
         yield _rows(count, kind=pa.array(np.zeros(count, np.int8)), high=pa.array(names[:, 0].copy()), low=pa.array(names[:, 1].copy()),
-                    n=pa.array([s[3] for s in sets], pa.int64()), profile=pa.array([p.tobytes() for p in profiles], pa.binary()),
+                    n=pa.array([s[3] for s in sets], pa.int64()), profile=pa.array([s[4] for s in sets], pa.binary()),
                     **{c: pa.concat_arrays(v) for c, v in columns.items()})
         token = np.concatenate([t for t, _ in first]).view(np.int64)
         high = np.repeat(np.array([h for _, h in first], np.uint64), [len(t) for t, _ in first]).view(np.int64)
@@ -176,23 +186,59 @@ def _starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1, [batch.num_rows]])
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token and set, those whose token several sets have; repeats of a row go."""
+    waiting = None  # the last row, if it is not known yet whether its token is shared
+    token, high, shared = 0, 0, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tokens, highs = batch.column("token").to_numpy(), batch.column("high").to_numpy()
+        if waiting is not None:
+            tokens, highs = np.append([token], tokens), np.append([high], highs)
+        new = np.ones(len(tokens), bool)
+        new[1:] = (tokens[1:] != tokens[:-1]) | (highs[1:] != highs[:-1])
+        tokens, highs = tokens[new], highs[new]
+        same = tokens[1:] == tokens[:-1]
+        kept = np.append(same, False) | np.append(False, same)
+        kept[0] |= waiting is not None and shared and len(kept) > 0
+        done = kept.copy()
+        if waiting is not None and shared:
+            done[0] = False  # it has been given already
+        last = len(tokens) - 1
+        shared = bool(kept[last]) and (last > 0 and bool(same[last - 1]) or (last == 0 and shared))
+        waiting, token, high = True, tokens[last], highs[last]
+        if done.any():
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[done]), pa.array(highs[done])], names=["token", "high"])
+
+
 def _profiled(percent: int):
     """Spanning edges of the pairs that share a candidate n-gram and whose profiles leave a link possible."""
-    def possible(p, n, a, b):
+    def possible(p, fine, n, a, b):
         ok = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
         a, b = a[ok], b[ok]
         far = np.abs(p[a] - p[b]).sum(1)
         ok = (100 + percent) * far <= (100 - percent) * (n[a] + n[b])
-        return a[ok], b[ok]
-
-    def crowd(p, n, at, end):
+        a, b = a[ok], b[ok]
+        large = np.flatnonzero(np.minimum(n[a], n[b]) > 8 * PROFILE)  # these have finer counters to tell them apart
+        if len(large):
+            ok = np.ones(len(a), bool)
+            for k in large:
+                one, two = fine[a[k]].as_py(), fine[b[k]].as_py()
+                counters = min(len(one), len(two)) // 2
+                far = np.abs(folded(one, counters) - folded(two, counters)).sum()
+                ok[k] = (100 + percent) * far <= (100 - percent) * (n[a[k]] + n[b[k]])
+            a, b = a[ok], b[ok]
+        return a, b
+
+    def crowd(p, fine, n, at, end):
         """Pairs of one crowded n-gram: a row that has met a set is not held against others of that set."""
         order = at + np.argsort(n[at:end], kind="stable")
         label = np.arange(len(order))
         for x in range(1, len(order)):
             low = np.searchsorted(n[order[:x]] * 100, percent * n[order[x]])
             others = order[low:x]
-            a, _ = possible(p, n, others, np.full(len(others), order[x]))
+            a, _ = possible(p, fine, n, others, np.full(len(others), order[x]))
             if len(a):
                 met = np.zeros(end - at, bool)
                 met[a - at] = True
@@ -208,9 +254,7 @@ def _profiled(percent: int):
             forest = Forest()
             high, n = batch.column("high").to_numpy(), batch.column("n").to_numpy()
             profile = batch.column("profile")
-            p = np.frombuffer(profile.buffers()[2], np.uint16)
-            begin = np.frombuffer(profile.buffers()[1], np.int32)[profile.offset] // 2
-            p = p[begin:begin + batch.num_rows * PROFILE].reshape(-1, PROFILE).astype(np.int32)
+            p = np.array([folded(own, PROFILE) for own in profile.to_pylist()])
             starts = _starts(batch, ["token", "left", "right"])
             sizes = np.diff(starts)
             for size in np.unique(sizes[(sizes > 1) & (sizes <= 64)]):
@@ -219,10 +263,10 @@ def _profiled(percent: int):
                 step = max(1, 20_000 // len(i))
                 for at in range(0, len(of), step):
                     base = of[at:at + step, None]
-                    for a, b in zip(*possible(p, n, (base + i).ravel(), (base + j).ravel())):
+                    for a, b in zip(*possible(p, profile, n, (base + i).ravel(), (base + j).ravel())):
                         forest.join(int(high[a]), int(high[b]))
             for k in np.flatnonzero(sizes > 64):
-                for a, b in crowd(p, n, starts[k], starts[k + 1]):
+                for a, b in crowd(p, profile, n, starts[k], starts[k + 1]):
                     forest.join(int(high[a]), int(high[b]))
             pairs = [(x, forest.root(x)) for x in list(forest.parent)]
             if pairs:
@@ -359,9 +403,11 @@ def _decided(docs: DataFrame, n: int, percent: int, id_column: str, text_column:
                    .select("high", "low", "low_id", "n", F.col("c.row").alias("vertex"), F.col("c.profile").alias("profile")), "vertices")
 
     entries = sketch.where("kind = 1").select("token", "high")
-    shared = (entries.groupBy("token").agg(F.count("*").alias("met")).where("met > 1")
-              .select("token", F.ceil(F.col("met") / block_docs).alias("blocks")))
-    met = entries.join(shared, "token").distinct().join(vertices.select("high", "n", "profile"), "high")
+    shared = cut(entries.repartition(parts, "token").sortWithinPartitions("token", "high").mapInArrow(lean(_shared), "token long, high long"), "shared")
+    crowded = (shared.groupBy("token").agg(F.count("*").alias("met")).where(F.col("met") > block_docs)
+               .select("token", F.ceil(F.col("met") / block_docs).alias("blocks")))
+    met = (shared.join(crowded, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+           .join(vertices.select("high", "n", "profile"), "high"))
     edges = (_blocked(met, "token", "blocks", "high").select("token", "left", "right", "high", "n", "profile")
              .repartition(parts, "token", "left", "right").sortWithinPartitions("token", "left", "right")
              .mapInArrow(lean(_profiled(percent)), "a long, b long"))
@@ -398,7 +444,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_column
 
     1. Frequent shingles are found to write every set in one order, rare shingles first.
     2. Equal sets become one vertex. A vertex is entered under the first shingles of its set, of which
-       two linked sets share one. Where several vertices meet, sizes and 64 counters of both sets bound
+       two linked sets share one. Where several vertices meet, sizes and hashed counters of both sets bound
        their difference; what may still link becomes an edge of the candidate graph.
     3. The texts of a component of that graph come together and a prefix-tree join finds links that span the
        true components. Crowded shingles and large components are cut into blocks, and each pair of blocks

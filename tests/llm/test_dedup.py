@@ -159,3 +159,30 @@ def test_one_of_each(docs_of, odd_rows):
     stays = jaccard.one_of_each(docs, 3, 90)
     assert stays.columns == docs.columns
     assert sorted((r.doc_id for r in stays.collect()), key=str) == [1, 10, 11, 2, 3, 4, 6, 8, None]
+
+
+def test_shared_tokens_across_batches():
+    import pyarrow as pa
+
+    draw = random.Random(11)
+    rows = sorted((draw.randint(0, 30), draw.randint(0, 5)) for _ in range(80))
+    wanted = sorted({(t, h) for t, h in rows if len({x for u, x in rows if u == t}) > 1})
+    for size in (1, 2, 3, 7, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows[k:k + size]], pa.int64()), pa.array([h for _, h in rows[k:k + size]], pa.int64())],
+                                              names=["token", "high"]) for k in range(0, len(rows), size)]
+        out = [pair for b in jaccard._shared(iter(batches)) for pair in zip(b.column("token").to_pylist(), b.column("high").to_pylist())]
+        assert out == wanted
+
+
+def test_profiles_bound_the_difference():
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    for size in (10, 700, 3000, 9000):
+        a = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[size // 3:], draw.integers(0, 1 << 63, size, dtype=np.uint64)]))
+        one, two = jaccard.profile_of(a), jaccard.profile_of(b)
+        counters = min(len(one), len(two)) // 2
+        apart = len(np.setxor1d(a, b))
+        assert np.abs(jaccard.folded(one, counters) - jaccard.folded(two, counters)).sum() <= apart
+        assert np.abs(jaccard.folded(one, 64) - jaccard.folded(two, 64)).sum() <= apart
