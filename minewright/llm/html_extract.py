@@ -311,8 +311,9 @@ def weak_labels(page: list) -> np.ndarray | None:
 
 def fit(pages: DataFrame, fit_pages: int = FIT_PAGES, made: int = 400) -> Labeller:
     """A labeller from at most ``fit_pages`` pages (hashed ids first), weakly labelled, and ``made`` pages composed of their texts."""
-    html = [r["html"] or "" for r in pages.select(F.col("html").cast("string").alias("html"), F.md5(F.col("page_id").cast("string")).alias("order"))
-            .where("length(html) < 100000").orderBy("order").limit(fit_pages).collect()]
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).where("length(html) < 100000")
+    chosen = rows.select("page_id").distinct().orderBy(F.md5(F.col("page_id").cast("string"))).limit(fit_pages)  # ids alone go to the driver
+    html = [r["html"] for r in rows.join(F.broadcast(chosen), "page_id", "left_semi").limit(fit_pages).collect()]
     real = [page for page in map(leaves, html) if page]
     composer = Composer([b[0] for page in real for b in page][:20_000])
     examples = [(page, labels) for page in real if (labels := weak_labels(page)) is not None]
