@@ -10,7 +10,8 @@ from minewright.operators import index, links, ranking
 from minewright.operators.vectorize import first_by
 from minewright.plans.texts import PAGE_TEXT
 from minewright.registry import Tables, plan
-from minewright.session import cut
+from minewright.session import cut, scratch_path
+from minewright.sources import files
 
 STOP = "('the', 'of', 'to', 'and', 'a', 'in', 'is', 'it')"
 
@@ -113,6 +114,26 @@ def word_list(t: Tables):
     return Site(t).word_list()
 
 
+@plan("extend_ids", f"""{INDEXED}, known AS (
+  SELECT row_number() OVER (ORDER BY to_url) AS url_id, to_url AS url FROM (SELECT DISTINCT to_url FROM page_links))
+SELECT url_id, url FROM known UNION ALL
+SELECT (SELECT coalesce(max(url_id), 0) FROM known) + row_number() OVER (ORDER BY url), url FROM (
+  SELECT DISTINCT url FROM first_pages WHERE url NOT IN (SELECT url FROM known))""")
+def extend_ids(t: Tables):
+    """Link targets got their ids first; the stored pages that none of them is come after."""
+    site = Site(t)
+    known = cut(index.dictionary(site.links.select(F.col("to_url").alias("url")), "url", "url_id"), "known")
+    return index.extend_dictionary(known, site.pages, "url", "url_id")
+
+
+@plan("word_report", f"{INDEXED} SELECT word_id || ' ' || word AS value FROM word_list")
+def word_report(t: Tables):
+    """The word list as a text report, written and read again."""
+    path = scratch_path(t.spark, "report")
+    files.write_report(Site(t).word_list().select(F.concat_ws(" ", "word_id", "word").alias("value")), path)
+    return t.spark.read.text(path)
+
+
 @plan("word_location", f"""{INDEXED}
 SELECT url_id, word_id, location FROM postings JOIN url_list USING (url) JOIN word_list USING (word)""")
 def word_location(t: Tables):
