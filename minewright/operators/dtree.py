@@ -75,24 +75,35 @@ def condensed(rows: DataFrame, columns: list[str], label: str) -> DataFrame:
             .withColumn("node", F.lit("r")))
 
 
-def _labels(rows: DataFrame) -> list:
-    """The class labels: the output dimension of the tree."""
-    return sorted(r[0] for r in rows.select("label").distinct().collect())
+def _labels(rows: DataFrame, score: Score = entropy) -> list:
+    """The class labels, which are the output dimension of the tree (a missing label is a class of its own, the last).
+
+    For ``variance`` the label is a number and this is its mean alone: values are measured from it.
+    """
+    if score is variance:
+        return [rows.agg(F.sum(F.col("label") * F.col("n")) / F.sum("n")).first()[0] or 0.0]
+    return sorted((r[0] for r in rows.select("label").distinct().collect()), key=lambda v: (v is None, v))
 
 
 def best_splits(rows: DataFrame, columns: list[str], labels: list, score: Score = entropy) -> DataFrame:
     """``node, column, num_value, str_value, gain`` of the best split of every node with a gain.
 
     Label counts per (node, column, value) are combined before the shuffle; the side of a numeric
-    split is a running total over the values, taken across partitions.
+    split is a running total over the values, taken across partitions. A numeric label (``variance``) has count, sum
+    and sum of squares instead of label counts.
     """
     types = dict(rows.dtypes)
     text = [c for c in columns if types[c] == "string"]
     cells = F.array(*[F.struct(F.lit(c).alias("column"),
                                (F.lit(None) if c in text else F.col(c)).cast("double").alias("num_value"),
                                (F.col(c) if c in text else F.lit(None)).cast("string").alias("str_value")) for c in columns])
-    names = [f"c{i}" for i in range(len(labels))]
-    tally = [F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0)).alias(name) for label, name in zip(labels, names)]
+    if score is variance:
+        away = F.col("label").cast("double") - labels[0]
+        names, size = ["n0", "y1", "y2"], lambda counts: counts[0].cast("double")
+        tally = [F.sum(v).alias(name) for name, v in zip(names, (F.col("n"), F.col("n") * away, F.col("n") * away * away))]
+    else:
+        names, size = [f"c{i}" for i in range(len(labels))], _total
+        tally = [F.sum(F.when(F.col("label").eqNullSafe(F.lit(label)), F.col("n")).otherwise(0)).alias(name) for label, name in zip(labels, names)]
     values = (rows.select("node", "label", "n", F.inline(cells))
               .where("num_value IS NOT NULL OR str_value IS NOT NULL")
               .groupBy("node", "column", "num_value", "str_value").agg(*tally))
@@ -108,11 +119,13 @@ def best_splits(rows: DataFrame, columns: list[str], labels: list, score: Score
     sides = reduce(DataFrame.unionByName, parts).join(whole, "node")
     inside, everything = [F.col(f"s_{n}") for n in names], [F.col(f"w_{n}") for n in names]
     outside = [w - s for w, s in zip(everything, inside)]
-    share = _total(inside) / _total(everything)
-    gains = (sides.where((_total(inside) > 0) & (_total(outside) > 0))
+    share = size(inside) / size(everything)
+    # Sums of squares leave a rest of rounding where nothing varies.
+    least = F.lit(1e-10) * everything[2] / everything[0] if score is variance else F.lit(0.0)
+    gains = (sides.where((size(inside) > 0) & (size(outside) > 0))
              .select("node", "column", "num_value", "str_value",
-                     F.round(score(everything) - share * score(inside) - (1 - share) * score(outside), 12).alias("gain"))
-             .where("gain > 0"))
+                     F.round(score(everything) - share * score(inside) - (1 - share) * score(outside), 12).alias("gain"), least.alias("least"))
+             .where("gain > least"))
     first = F.min(F.struct((-F.col("gain")).alias("g"), "column", "num_value", "str_value")).alias("best")
     return gains.groupBy("node").agg(first).select(
         "node", "best.column", "best.num_value", "best.str_value", (-F.col("best.g")).alias("gain"))
@@ -128,10 +141,13 @@ def _test(columns: list[str], types: dict) -> Column:
 
 
 def build_tree(rows: DataFrame, columns: list[str], label: str = "label", score: Score = entropy, max_depth: int | None = None) -> Tree:
-    """Grow until no split gains anything, all nodes of a level in one job."""
+    """Grow until no split gains anything, all nodes of a level in one job.
+
+    ``score`` is ``entropy``, ``gini`` or, for a numeric label, ``variance``: a leaf then holds the numbers that reach it.
+    """
     spark = rows.sparkSession
     active = cut(condensed(rows, columns, label), "tree")
-    labels, types = _labels(active), dict(active.dtypes)
+    labels, types = _labels(active, score), dict(active.dtypes)
     splits, leaves = [], []
     depth = 0
     while True:

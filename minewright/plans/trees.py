@@ -40,7 +40,9 @@ def entropy(t: Tables):
 
 @plan("variance", """SELECT l_suppkey, round(coalesce(var_pop(l_quantity), 0), 6) AS variance FROM lineitem GROUP BY l_suppkey""")
 def variance(t: Tables):
-    return t.lineitem.groupBy("l_suppkey").agg(F.round(F.coalesce(F.var_pop("l_quantity"), F.lit(0.0)), 6).alias("variance"))
+    away = F.col("l_quantity").cast("double") - 25
+    moments = [F.count("l_quantity"), F.sum(away), F.sum(away * away)]
+    return t.lineitem.groupBy("l_suppkey").agg(F.round(F.coalesce(dtree.variance(moments), F.lit(0.0)), 6).alias("variance"))
 
 
 def _h(counts):
@@ -101,6 +103,27 @@ def build_tree(t: Tables):
     return _flat(line_tree(t))
 
 
+LINE_LABEL = """CASE WHEN l_quantity >= 30 AND l_returnflag = 'R' THEN 'hot' WHEN l_quantity >= 30 THEN 'big'
+  WHEN round(l_discount * 100)::BIGINT >= 5 THEN 'deal' ELSE 'plain' END"""
+
+
+@plan("build_gini_tree", f"SELECT {LINE_LABEL} AS guess, count(*) AS n FROM lineitem GROUP BY ALL")
+def build_gini_tree(t: Tables):
+    """Rows per guess of a Gini tree; the label can be learned exactly, so they are the rows per label."""
+    leaves = dtree.build_tree(line_rows(t), LINE_COLUMNS, score=dtree.gini).leaves
+    return leaves.groupBy("node").agg(F.max_by("label", "n").alias("guess"), F.sum("n").alias("n")).groupBy("guess").agg(F.sum("n").alias("n"))
+
+
+@plan("build_regression_tree", f"""SELECT round((CASE {LINE_LABEL} WHEN 'hot' THEN 1000.5 WHEN 'big' THEN 1000.25 WHEN 'deal' THEN 3 ELSE 0 END)::DOUBLE, 4) AS guess,
+  count(*) AS n FROM lineitem GROUP BY ALL""")
+def build_regression_tree(t: Tables):
+    """Rows per mean of the leaves of a regression tree; the number can be learned exactly, so they are the rows per number."""
+    number = F.when(F.col("label") == "hot", 1000.5).when(F.col("label") == "big", 1000.25).when(F.col("label") == "deal", 3.0).otherwise(0.0)
+    leaves = dtree.build_tree(line_rows(t).withColumn("label", number), LINE_COLUMNS, score=dtree.variance).leaves
+    means = leaves.groupBy("node").agg(F.round(F.sum(F.col("label") * F.col("n")) / F.sum("n"), 4).alias("guess"), F.sum("n").alias("n"))
+    return means.groupBy("guess").agg(F.sum("n").alias("n"))
+
+
 @plan("prune")
 def prune(t: Tables):
     return _flat(dtree.prune(line_tree(t), 0.5))
