@@ -7,7 +7,7 @@ from html import unescape
 
 _TOKEN = re.compile(
     r"<!--[\s\S]*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|math|canvas|select)\b[^>]*>(?:[\s\S]*?</(?P=raw)\s*>|[\s\S]*\Z)"
+    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>(?:[\s\S]*?</(?P=raw)\s*>|[\s\S]*\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<attributes>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-z!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.IGNORECASE)
@@ -15,7 +15,7 @@ _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _WORD = re.compile(r"[a-z]+")
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li link main menu meta nav ol option p pre
-    section summary table tbody td textarea tfoot th thead title tr ul""".split())
+    section select summary table tbody td textarea tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An element that closes an open one of the same kind (up to the next list, table or section).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -23,7 +23,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 _P = frozenset({"p"})
 _BARRIER = frozenset("ul ol dl table div section article main body aside nav footer header form".split())
 #: A paragraph ends where one of these begins.
-_ENDS_P = BLOCKS - {"button", "label", "link", "meta", "option", "textarea", "body", "head", "html"}
+_ENDS_P = BLOCKS - {"button", "label", "link", "meta", "option", "select", "textarea", "title", "body", "head", "html"}
 
 
 def names(attributes: str) -> tuple[str, ...]:
@@ -37,7 +37,8 @@ def leaves(html: str) -> list[tuple[str, tuple, int]]:
     """``(text, path, linked characters)`` of every block with text, in page order.
 
     Comments, scripts and styles are gone, character references decoded, white space runs are one space. Inline elements
-    do not divide a block; unclosed and stray tags are borne.
+    do not divide a block, and the text inside svg, math, object, noscript, template, iframe and canvas is that of inline
+    elements; unclosed, self-closed and stray tags are borne.
     """
     out: list = []
     stack: list[tuple] = []  # (tag, names)

@@ -17,8 +17,8 @@ from minewright.llm.words import LOWER, chunks, span_hashes, word_spans
 
 #: Pages that the model is fitted on; hidden units per direction; buckets of unknown path words and of text words.
 FIT_PAGES, HIDDEN, PATH_BUCKETS, WORD_BUCKETS = 200, 16, 32, 32
-#: Path words with a feature of their own. Fixed values.
-PATH_WORDS = sorted(BLOCKS) + """ad ads advert advertisement alert article author banner bar blog body bottom box breadcrumb button byline caption
+#: Path words with a feature of their own. Fixed values; "select" is hashed like unknown words.
+PATH_WORDS = sorted(BLOCKS - {"select"}) + """ad ads advert advertisement alert article author banner bar blog body bottom box breadcrumb button byline caption
     col comment comments consent contact container content cookie cookies copyright date discussion disqus document entry feed foot gdpr
     hentry inner item legal list login masthead menu meta modal navbar navigation navigator newsletter notice notification overlay page pager
     pagination panel popup post privacy promo promotion region related reply responses rail recommended search share side sidebar signup site

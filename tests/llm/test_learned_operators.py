@@ -117,6 +117,27 @@ def test_blocks_of_odd_markup():
     assert leaves("<a title=\"" + "x" * 200_000) == []
 
 
+def test_only_scripts_and_styles_lose_their_text():
+    for tag in ("svg", "math", "object", "canvas", "iframe", "noscript", "template"):
+        for page, want in ((f'<article><p>a <{tag} class="i"/> b</p><p>c</p></article>', ["a b", "c"]), (f"<p>a <{tag}> b</p><p>c</p>", ["a b", "c"]),
+                           (f"<p>a <{tag} x>in</{tag}> b</p><p>c</p>", ["a in b", "c"]), (f"<p>a <{tag}/> b</p><p>c <{tag}>in</{tag}></p>", ["a b", "c in"])):
+            assert [b[0] for b in leaves(page)] == want, page
+    assert [b[0] for b in leaves("<p>pick <select><option>a<option>b</select> now</p><p>c <select> d</p>")] == ["pick", "a", "b", "now", "c", "d"]
+    assert [(b[0], b[1][-1][0]) for b in leaves("<p>a <svg><title>in</title></svg> b</p>")] == [("a", "p"), ("in", "title"), ("b", "p")]
+    assert [b[0] for b in leaves("<p>a<script-box>b</script-box><style-x>c</style-x></p><script src=x/>d</script>e<style>f")] == ["abc", "e"]
+
+
+def test_main_text_around_and_in_other_elements(spark):
+    model = html_extract.fit(spark.read.parquet(f"{SMALL}/pages.parquet"))
+    inside = {1: '<p>a word <svg class="i"/> and more of it.</p><p>The last one.</p>', 2: "<p>With <math><mi>x</mi>=<mn>2</mn></math> in it.</p><p>The last one.</p>",
+              3: "<p>Then <object data=o>its own text</object> here.</p><noscript><p>Seen without scripts.</p></noscript><p>The last one.</p>"}
+    pages = spark.createDataFrame([(k, "u", f"<html><body><nav><a href=/>menu</a></nav><article><h1>The name</h1>{v}</article></body></html>") for k, v in inside.items()],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extracted(pages, model).collect()}
+    assert got == {1: "The name\na word and more of it.\nThe last one.", 2: "The name\nWith x=2 in it.\nThe last one.",
+                   3: "The name\nThen its own text here.\nSeen without scripts.\nThe last one."}
+
+
 def test_backpropagation_equals_differences():
     composer = html_extract.Composer(["some words of a text. And more of them"], seed=1)
     pages = [composer.page() for _ in range(3)]
