@@ -76,8 +76,8 @@ def load_schedule(t: Tables):
     lines = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.concat_ws(
         ",", F.col("c_nationkey").cast("string"), (F.col("o_orderkey") % 2).cast("string"), clock(F.col("o_orderkey") % 1440),
         clock(F.col("o_custkey") % 1440), F.floor(F.col("o_totalprice") / 1000).cast("string")).alias("value"))
-    # Files come out in key order: range partitions are numbered and named in order.
-    lines.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").select("value").write.text(folder)
+    # Files come out in key order, as many as the data fill: range partitions are numbered and named in order.
+    lines.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select("value").write.text(folder)
     return files.load_schedule(t.spark, folder)
 
 

@@ -53,15 +53,16 @@ def feed_entries(spark: SparkSession, path: str, per_line: bool = False) -> Data
 def load_schedule(spark: SparkSession, path: str) -> DataFrame:
     """``origin, dest, idx, dep_min, arr_min, price``; ``idx`` counts a route's flights in file order.
 
-    File order is the only order the format has, so each file is read as one value with its lines
-    numbered; files follow each other by name.
+    File order is the only order the format has: files follow each other by name, their splits by place, and the
+    lines of a split as they are read, so a file of any size is spread over as many tasks as it has splits.
     """
-    lines = (spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-             .select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text")).where("trim(text) <> ''"))
+    lines = (spark.read.text(path, lineSep="\n")
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", r"\r$", "").alias("text")).where("trim(text) <> ''"))
     part = F.split(F.trim("text"), ",")
-    rows = lines.select("file", "line", part[0].alias("origin"), part[1].alias("dest"), text.minutes(part[2]).alias("dep_min"),
+    rows = lines.select("file", "block", "line", part[0].alias("origin"), part[1].alias("dest"), text.minutes(part[2]).alias("dep_min"),
                         text.minutes(part[3]).alias("arr_min"), part[4].cast("long").alias("price"))
-    return numbered(rows, ["origin", "dest"], ["file", "line"], "idx").drop("file", "line")
+    return numbered(rows, ["origin", "dest"], ["file", "block", "line"], "idx").drop("file", "block", "line")
 
 
 def load_match(spark: SparkSession, path: str, columns: int, all_num: bool = False) -> DataFrame:
