@@ -17,7 +17,6 @@ from minewright.session import cut
 # Weights of missing connections, starting weights and learning rate.
 MISSING_IN = -0.2
 START_OUT = 0.1
-MOST_WORDS = 3
 RATE = 0.5
 
 
@@ -27,17 +26,19 @@ class Network:
     hidden_url: DataFrame
 
 
-def node_keys(queries: DataFrame) -> DataFrame:
-    """``query_id, node, words``: one node per distinct set of at most three words."""
-    sizes = queries.groupBy("query_id").agg(F.count("*").alias("words")).where(F.col("words") <= MOST_WORDS)
+def node_keys(queries: DataFrame, most_words: int | None = None) -> DataFrame:
+    """``query_id, node, words``: one node per distinct set of words, of at most ``most_words`` if that is given."""
+    sizes = queries.groupBy("query_id").agg(F.count("*").alias("words"))
+    if most_words is not None:
+        sizes = sizes.where(F.col("words") <= most_words)
     return (queries.join(sizes, "query_id").groupBy("query_id", "words")
             .agg(F.array_join(F.array_sort(F.collect_list(F.col("word_id").cast("string"))), "_").alias("node"))
             .select("query_id", "node", "words"))
 
 
-def hidden_nodes(queries: DataFrame, results: DataFrame, known: DataFrame | None = None) -> Network:
+def hidden_nodes(queries: DataFrame, results: DataFrame, known: DataFrame | None = None, most_words: int | None = None) -> Network:
     """Connections of the nodes the queries create; nodes in ``known`` are left alone."""
-    keys = node_keys(queries)
+    keys = node_keys(queries, most_words)
     if known is not None:
         keys = keys.join(known.select("node").distinct(), "node", "left_anti")
     return Network(
@@ -112,9 +113,10 @@ def _moved(weights: DataFrame, change: DataFrame, keys: list[str], missing: floa
         *keys, (F.coalesce("strength", F.lit(missing)) + F.coalesce("change", F.lit(0.0))).alias("strength"))
 
 
-def train(queries: DataFrame, results: DataFrame, clicked: DataFrame, net: Network | None = None, passes: int = 1) -> Network:
+def train(queries: DataFrame, results: DataFrame, clicked: DataFrame, net: Network | None = None, passes: int = 1,
+          most_words: int | None = None) -> Network:
     """Create missing nodes, then repeat forward and backward over the batch."""
-    fresh = hidden_nodes(queries, results, net.word_hidden if net else None)
+    fresh = hidden_nodes(queries, results, net.word_hidden if net else None, most_words)
     if net:
         fresh = Network(net.word_hidden.unionByName(fresh.word_hidden), net.hidden_url.unionByName(fresh.hidden_url))
     net = Network(cut(fresh.word_hidden, "weights"), cut(fresh.hidden_url, "weights"))
