@@ -104,15 +104,9 @@ top_words AS (
 titled AS (SELECT title, a, w FROM w50 JOIN articles ON doc_id = i)"""
 
 
-_finished: dict = {}
-
-
 def finished_topics(t: Tables):
-    """W and H of the articles after all rounds: the topic reports of one session share them."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _finished:
-        _finished[key] = factor.factorize(article_cells(t), TOPICS)
-    return _finished[key]
+    """W and H of the articles after all rounds, computed by every query that reports topics."""
+    return factor.factorize(article_cells(t), TOPICS)
 
 
 @plan("nmf", f"""WITH {ARTICLE_ROUNDS}
