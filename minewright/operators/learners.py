@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def tree_pipeline(text: list[str], numbers: list[str], label: str = "label", depth: int = 5, bins: int = 64) -> Pipeline:
-    """Index and one-hot the text columns, pass the numbers through, fit an entropy tree."""
+def tree_pipeline(text: list[str], numbers: list[str], label: str = "label", depth: int = 30, bins: int = 64) -> Pipeline:
+    """Index and one-hot the text columns, pass the numbers through, fit an entropy tree.
+
+    ``depth`` 30 is the library's largest; a number column is split at no more than ``bins`` - 1 places.
+    """
     indexed, flags = [f"{c}_i" for c in text], [f"{c}_v" for c in text]
     return Pipeline(stages=[
         StringIndexer(inputCols=[*text, label], outputCols=[*indexed, "label_i"]),
@@ -47,7 +50,7 @@ def random_features(data: Column, dims: int, size: int, gamma: float) -> Column:
     return F.array(*waves)
 
 
-def kernel_machine(train: DataFrame, dims: int, size: int = 64, gamma: float = 1.0, rounds: int = 20):
+def kernel_machine(train: DataFrame, dims: int, size: int = 64, gamma: float = 1.0, rounds: int = 100):
     """Linear support vectors over random features; returns a function that predicts a frame."""
     def lifted(rows: DataFrame) -> DataFrame:
         return rows.withColumn("features", array_to_vector(random_features(F.col("data"), dims, size, gamma)))
