@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, pii, simhash, toxicity
+from minewright.llm import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, pii, simhash, toxicity, variants
 from minewright.llm.batches import bounded_batches
 from minewright.session import cut
 
@@ -67,7 +67,12 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.graded(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op3_html, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity, op10_ngram_jaccard)}
+def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op3_html, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity,
+                                   op10_ngram_jaccard, op11_variants)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL = {
