@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm import chat, exact_dedup, html_extract, jaccard, langid, mixing, packing, pii, simhash, toxicity, variants
+from minewright.llm import chat, exact_dedup, html_extract, jaccard, langid, mixing, negatives, packing, pii, simhash, suffixes, toxicity, variants
 from minewright.llm.batches import bounded_batches
 from minewright.session import cut
 
@@ -71,8 +71,21 @@ def op11_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.spelling_variants(_table(spark, folder, "documents"))
 
 
+def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.without_repeats(_table(spark, folder, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings").where(negatives.complete("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", label.alias("label"), negatives.integers("embedding").alias("vec")))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat, op3_html, op4_mixing, op5_packing, op6_simhash, op7_pii, op8_langid, op9_toxicity,
-                                   op10_ngram_jaccard, op11_variants)}
+                                   op10_ngram_jaccard, op11_variants, op12_repeats, op13_negatives)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL = {
@@ -124,4 +137,36 @@ ORACLE_SQL = {
         SELECT doc_id, size::BIGINT AS size, words AS source_size, target,
                ((whole + CASE WHEN rank IS NOT NULL AND 2 * ahead + size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM placed JOIN rests ON placed.source IS NOT DISTINCT FROM rests.source""",
+    "op12_repeats": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        strings AS (SELECT r, s, md5(substr(h, 2 * s + 1, 800)) AS m
+                    FROM (SELECT r, h, unnest(range(0, (length(h) // 2 - 399)::BIGINT)) AS s FROM d WHERE length(h) >= 800)),
+        counted AS (SELECT r, s, count(*) OVER (PARTITION BY m) AS n FROM strings),
+        marked AS (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 400 THEN 0 ELSE 1 END AS begins FROM counted WHERE n > 1),
+        numbered AS (SELECT r, s, sum(begins) OVER (PARTITION BY r ORDER BY s) AS span FROM marked),
+        spans AS (SELECT r, min(s) AS a, max(s) + 400 AS b FROM numbered GROUP BY r, span),
+        gaps AS (SELECT r, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY r ORDER BY a)
+                 UNION ALL SELECT r, max(b), 1000000000 FROM spans GROUP BY r),
+        rests AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS rest FROM gaps JOIN d USING (r) GROUP BY r),
+        totals AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(rest, h))) AS kept_sha256
+        FROM d LEFT JOIN rests USING (r) LEFT JOIN totals USING (r)""",
+    "op13_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+                   list_sum([p[1] * p[2] FOR p IN list_zip(a.v, b.v)])::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        near AS (SELECT a, b AS p, score AS ps FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+        ranked AS (
+            SELECT n.a, p, ps, s.b, s.score, row_number() OVER (PARTITION BY n.a, p ORDER BY s.score DESC, s.b) AS rank
+            FROM near n JOIN scored s ON n.a = s.a AND NOT s.same AND 30 * ps <= 100 * s.score AND 100 * s.score <= 90 * ps)
+        SELECT a AS anchor_id, p AS positive_id, rank::INT AS rank, b AS negative_id, ps AS positive_score, score AS negative_score
+        FROM ranked WHERE rank <= 10""",
 }

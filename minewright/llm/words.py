@@ -82,14 +82,32 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span, from one running sum over the buffer."""
-    up, down = _power(len(data))
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """The running sum from which every span of ``data`` gets its hash."""
+    up, _ = _power(len(data))
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_LETTERS[data] * up[:len(data)], out=running[1:])
+    return running
+
+
+def hashes_of(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span."""
+    _, down = _power(len(running) - 1)
     return mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_hashes(running: np.ndarray, n: int) -> np.ndarray:
+    """The hashes of the n bytes from every place on."""
+    _, down = _power(len(running) - 1)
+    size = max(0, len(running) - n)
+    return mixed((running[n:n + size] - running[:size]) * down[:size] + np.uint64(n))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span, from one running sum over the buffer."""
+    return hashes_of(running_sums(data), starts, ends)
+
+
 def shingle_hashes(words: np.ndarray, per_row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-word runs inside rows and their row numbers.
 
