@@ -138,19 +138,19 @@ ORACLE_SQL = {
                ((whole + CASE WHEN rank IS NOT NULL AND 2 * ahead + size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
         FROM placed JOIN rests ON placed.source IS NOT DISTINCT FROM rests.source""",
     "op12_repeats": """
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-        strings AS (SELECT r, s, md5(substr(h, 2 * s + 1, 800)) AS m
-                    FROM (SELECT r, h, unnest(range(0, (length(h) // 2 - 399)::BIGINT)) AS s FROM d WHERE length(h) >= 800)),
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        strings AS (SELECT r, unnest(range(0, octet_length(b) - 399)) AS s, unnest([md5(b[s + 1:s + 400]) FOR s IN range(0, octet_length(b) - 399)]) AS m
+                    FROM d WHERE octet_length(b) >= 400),
         counted AS (SELECT r, s, count(*) OVER (PARTITION BY m) AS n FROM strings),
         marked AS (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 400 THEN 0 ELSE 1 END AS begins FROM counted WHERE n > 1),
         numbered AS (SELECT r, s, sum(begins) OVER (PARTITION BY r ORDER BY s) AS span FROM marked),
-        spans AS (SELECT r, min(s) AS a, max(s) + 400 AS b FROM numbered GROUP BY r, span),
-        gaps AS (SELECT r, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY r ORDER BY a)
-                 UNION ALL SELECT r, max(b), 1000000000 FROM spans GROUP BY r),
-        rests AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS rest FROM gaps JOIN d USING (r) GROUP BY r),
-        totals AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
-        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-               sha256(unhex(coalesce(rest, h))) AS kept_sha256
+        spans AS (SELECT r, min(s) AS a, max(s) + 400 AS z FROM numbered GROUP BY r, span),
+        gaps AS (SELECT r, coalesce(lag(z) OVER w, 0) AS a, a AS z FROM spans WINDOW w AS (PARTITION BY r ORDER BY a)
+                 UNION ALL SELECT r, max(z), 1000000000 FROM spans GROUP BY r),
+        rests AS (SELECT r, string_agg(hex(b[a + 1:z]), '' ORDER BY a) AS rest FROM gaps JOIN d USING (r) GROUP BY r),
+        totals AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+        SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(coalesce(unhex(rest), b)) AS kept_sha256
         FROM d LEFT JOIN rests USING (r) LEFT JOIN totals USING (r)""",
     "op13_negatives": """
         WITH e AS (
