@@ -28,6 +28,24 @@ def postings(pages: DataFrame) -> DataFrame:
             .where(~F.col("word").isin(text.STOP_WORDS)))
 
 
+def posting_store(found: DataFrame, path: str, row_group: int = 1 << 20) -> DataFrame:
+    """The postings written to ``path``, sorted by word: ``word, url, n, first, locations``.
+
+    A word's rows lie side by side in one or few files (a frequent word spans several), and small row groups carry the
+    first and last word they hold: a filter on literal words reads the row groups of these words and no others.
+    """
+    rows = (found.groupBy("word", "url").agg(F.sort_array(F.collect_list("location")).alias("locations"))
+            .select("word", "url", F.size("locations").cast("long").alias("n"), F.get("locations", F.lit(0)).alias("first"), "locations"))
+    (rows.repartitionByRange("word", "url").sortWithinPartitions("word", "url")
+     .write.option("parquet.block.size", row_group).parquet(path))
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def locations(store: DataFrame) -> DataFrame:
+    """``url, location, word`` of a posting store, one row per position."""
+    return store.select("url", F.explode("locations").alias("location"), "word")
+
+
 def word_location(found: DataFrame, urls: DataFrame, words: DataFrame) -> DataFrame:
     return (found.join(urls, "url").join(words, "word")
             .select("url_id", "word_id", F.col("location").cast("long").alias("location")))

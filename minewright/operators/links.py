@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minewright.functions import text
-from minewright.session import cut
+from minewright.session import cut, laid_out
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -45,21 +45,40 @@ def link_words(links: DataFrame) -> DataFrame:
             .where(~F.col("word").isin(text.STOP_WORDS)))
 
 
-def page_rank(nodes: DataFrame, edges: DataFrame, rounds: int = 20, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
+#: Links of one page that are kept together; a page with more is split.
+HUB = 100_000
+
+
+def page_rank(nodes: DataFrame, edges: DataFrame, rounds: int = 20, damping: float = 0.85, cut_every: int = 5, hub: int = HUB) -> DataFrame:
     """Synchronous rank over ``nodes(url_id)`` and ``edges(from_id, to_id)``.
 
-    Each distinct linker passes its rank divided by all its links, so the distinct edges with
-    their share are prepared once; a round is one join and one sum combined before the shuffle.
+    Each distinct linker passes its rank divided by all its links. The distinct edges with their shares are laid out
+    once by the page they start from; a page with more than ``hub`` links is laid out in several places, to which its rank
+    travels. A round moves no edges: it reads them where the ranks are and sums what they pass on, first in
+    every task and then per page, so a page that everybody links to is one sum per task. Links of pages that are no nodes
+    pass nothing on; repeated nodes are one; an empty table gives an empty result.
     """
+    kind = nodes.schema["url_id"].dataType
+    edges = edges.select(F.col("from_id").cast(kind).alias("from_id"), F.col("to_id").cast(kind).alias("to_id"))
     out = edges.groupBy("from_id").agg(F.count("*").alias("links"))
-    shares = cut(edges.distinct().join(out, "from_id")
-                 .select("from_id", "to_id", (F.lit(damping) / F.col("links")).alias("share")), "shares")
-    nodes = cut(nodes.select("url_id").distinct(), "nodes")
+    shares = edges.distinct().join(out, "from_id").select("from_id", "to_id", (F.lit(damping) / F.col("links")).alias("share"))
+    hubs = cut(out.where(F.col("links") > hub).select("from_id", F.ceil(F.col("links") / hub).alias("places")), "hubs")
+    some = not hubs.isEmpty()
+    plain = laid_out(shares.join(hubs, "from_id", "left_anti") if some else shares, ["from_id"], "shares")
+    if some:
+        place = F.pmod(F.xxhash64("to_id"), F.col("places")).alias("place")
+        split = laid_out(shares.join(hubs, "from_id").select("from_id", place, "to_id", "share"), ["from_id", "place"], "hub_shares")
+        hubs = laid_out(hubs, ["from_id"], "hubs")
+    nodes = laid_out(nodes.select("url_id").distinct(), ["url_id"], "nodes")
     ranks = nodes.withColumn("score", F.lit(1.0))
+    passed = F.col("share") * F.col("score")
     for done in range(1, rounds + 1):
-        gained = (shares.join(ranks, F.col("from_id") == F.col("url_id"))
-                  .groupBy(F.col("to_id").alias("url_id"))
-                  .agg(F.sum(F.col("share") * F.col("score")).alias("gain")))
+        gains = plain.join(ranks, F.col("from_id") == F.col("url_id")).select("to_id", passed.alias("gain"))
+        if some:
+            spread = (hubs.join(ranks, F.col("from_id") == F.col("url_id"))
+                      .select("from_id", "score", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place")))
+            gains = gains.unionByName(split.join(spread, ["from_id", "place"]).select("to_id", passed.alias("gain")))
+        gained = gains.groupBy(F.col("to_id").alias("url_id")).agg(F.sum("gain").alias("gain"))
         ranks = nodes.join(gained, "url_id", "left").select(
             "url_id", (F.lit(1 - damping) + F.coalesce("gain", F.lit(0.0))).alias("score"))
         if done % cut_every == 0 and done < rounds:

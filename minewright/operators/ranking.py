@@ -16,19 +16,61 @@ from minewright.session import cut
 TINY = 0.00001
 
 
+def asked(found: DataFrame, query: DataFrame) -> DataFrame:
+    """The rows of ``found`` (with ``word`` and ``url``) for the words of the query, with their ``word_no``.
+
+    The few words of a query become literals, so a posting store reads only where they stand. Words on no page are ignored: the
+    others are numbered from 0 without gaps, in the order of the query.
+    """
+    numbers: dict[str, list[int]] = {}
+    for row in query.select("word_no", "word").collect():
+        numbers.setdefault(row["word"], []).append(row["word_no"])
+    rows = found.where(F.col("word").isin(*numbers))
+    known = {row["word"] for row in rows.select("word").distinct().collect()}
+    order = sorted((n, word) for word in known for n in numbers[word])
+    if not order:
+        return rows.withColumn("word_no", F.lit(0)).where(F.lit(False))
+    place = None
+    for word in sorted(known):
+        own = F.array(*[F.lit(k) for k, (_, other) in enumerate(order) if other == word])
+        place = F.when(F.col("word") == word, own) if place is None else place.when(F.col("word") == word, own)
+    return rows.where(F.col("word").isin(*known)).withColumn("word_no", F.explode(place))
+
+
 def match_rows(found: DataFrame, query: DataFrame) -> DataFrame:
     """Positions on the pages that hold every known query word, as ``url, word_no, word, location``.
 
     This is the factorised form of the position combinations: a page with 100 and 200 positions
-    is 300 rows here, not 20,000, and every score below is exact on it. Words on no page are ignored:
-    the others are numbered from 0 without gaps, in the order of the query.
+    is 300 rows here, not 20,000, and every score below is exact on it.
+    """
+    hits = asked(found, query)
+    known = hits.agg(F.count_distinct("word_no")).scalar()  # at most the words of the query
+    full = hits.groupBy("url").agg(F.count_distinct("word_no").alias("n")).where(F.col("n") == known).select("url")
+    return hits.join(full, "url", "left_semi").select("url", "word_no", "word", "location")
+
+
+def matched_pages(store: DataFrame, query: DataFrame) -> DataFrame:
+    """``url, frequency, location`` of the pages that hold every known query word, from one read of a posting store."""
+    hits = asked(store, query)
+    words = hits.groupBy("url").agg(F.collect_list(F.struct("word_no", F.col("n").cast("double").alias("n"))).alias("words"),
+                                    F.sum("first").cast("double").alias("location"))
+    found = cut(words.select("url", F.aggregate("words", F.lit(1.0), lambda product, w: product * w["n"]).alias("frequency"), "location",
+                             F.transform("words", lambda w: w["word_no"]).alias("numbers")), "matched")
+    known = found.agg(F.max(F.array_max("numbers")) + 1).scalar()
+    return found.where(F.size("numbers") == known).select("url", "frequency", "location")
+
+
+def page_scores(pages: DataFrame, values: dict[str, DataFrame], small: set[str]) -> DataFrame:
+    """``url`` and a score in 0..1 per value, all against the best of the result set; ``values`` are further ``url, value`` frames.
+
+    A page without a value has 0. ``small``: the values of which the smallest is the best.
     """
-    hits = found.join(F.broadcast(query), "word")
-    known = hits.agg(F.array_sort(F.collect_set("word_no"))).scalar()  # at most the words of the query
-    full = (hits.groupBy("url").agg(F.count_distinct("word_no").alias("n"))
-            .where(F.col("n") == F.size(known)).select("url"))
-    number = (F.array_position(known, F.col("word_no")) - 1).cast("int").alias("word_no")
-    return hits.join(full, "url", "left_semi").select("url", number, "word", "location")
+    for name, found in values.items():
+        pages = pages.join(found.select("url", F.col("value").cast("double").alias(name)), "url", "left")
+    names = [c for c in pages.columns if c != "url"]
+    pages = cut(pages.select("url", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names]), "values")
+    best = pages.agg(*[F.min(c).alias(c) if c in small else F.when(F.max(c) == 0, TINY).otherwise(F.max(c)).alias(c) for c in names]).first()
+    return pages.select("url", *[(F.lit(best[c]) / F.greatest(F.col(c), F.lit(TINY)) if c in small else F.col(c) / F.lit(best[c])).alias(c) for c in names])
 
 
 def per_word(rows: DataFrame) -> DataFrame:
@@ -108,18 +150,20 @@ def rank_score(pages: DataFrame, ranks: DataFrame) -> DataFrame:
     return normalized(_filled(pages, ranks.select("url", F.col("score").alias("value"))))
 
 
+def link_votes(link_words: DataFrame, ranks: DataFrame, query: DataFrame) -> DataFrame:
+    """``url, value``: summed rank of the pages whose link text holds a query word; ``link_words`` is ``from_url, to_url, word``."""
+    words = [row["word"] for row in query.select("word").distinct().collect()]
+    return (link_words.where(F.col("word").isin(*words)).join(ranks.select(F.col("url").alias("from_url"), "score"), "from_url")
+            .groupBy(F.col("to_url").alias("url")).agg(F.sum("score").alias("value")))
+
+
 def link_text_score(pages: DataFrame, link_words: DataFrame, ranks: DataFrame, query: DataFrame) -> DataFrame:
-    """Summed rank of the pages whose link text holds a query word; ``link_words`` is ``from_url, to_url, word``."""
-    votes = (link_words.join(F.broadcast(query.select("word")), "word")
-             .join(ranks.select(F.col("url").alias("from_url"), "score"), "from_url")
-             .groupBy(F.col("to_url").alias("url")).agg(F.sum("score").alias("value")))
-    return normalized(_filled(pages, votes))
+    return normalized(_filled(pages, link_votes(link_words, ranks, query)))
 
 
-def combined(parts: list[tuple[float, DataFrame]]) -> DataFrame:
-    """Weighted sum of score frames."""
-    weighted = [df.select("url", (F.lit(float(w)) * F.col("score")).alias("score")) for w, df in parts]
-    return reduce(DataFrame.unionByName, weighted).groupBy("url").agg(F.sum("score").alias("score"))
+def weighted(scores: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """``url, score``: the weighted sum of the scores of a page."""
+    return scores.select("url", reduce(Column.__add__, [F.lit(float(w)) * F.col(name) for name, w in weights.items()]).alias("score"))
 
 
 def top_pages(scores: DataFrame, order: Column, n: int = 10) -> DataFrame:

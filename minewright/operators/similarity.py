@@ -21,19 +21,22 @@ def distance_similarity(x: Column, y: Column) -> Column:
     return 1 / (1 + F.sum((x - y) * (x - y)))
 
 
+def _flat(x: Column) -> Column:
+    """Whether the values do not vary, measured against their own squares."""
+    return F.var_pop(x) <= 1e-20 * F.avg(x * x)
+
+
 def pearson(x: Column, y: Column) -> Column:
-    """Aggregate: Pearson r from six sums; NULL when either side does not vary, measured against its own squares."""
-    n = F.count("*")
-    spread_x = F.sum(x * x) - F.sum(x) * F.sum(x) / n
-    spread_y = F.sum(y * y) - F.sum(y) * F.sum(y) / n
-    flat = (spread_x <= 1e-9 * F.sum(x * x)) | (spread_y <= 1e-9 * F.sum(y * y))
-    return F.when(~flat, (F.sum(x * y) - F.sum(x) * F.sum(y) / n) / F.sqrt(spread_x * spread_y))
+    """Aggregate: Pearson r; NULL when either side does not vary.
+
+    The sums are of gaps from the running means: raw sums of squares lose the spread of values with a large offset.
+    """
+    return F.when(~(_flat(x) | _flat(y)), F.covar_pop(x, y) / (F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def pearson_centered(x: Column, y: Column) -> Column:
-    """Aggregate: the same r from mergeable central moments, stable for large offsets."""
-    flat = (F.var_pop(x) <= 1e-20 * F.avg(x * x)) | (F.var_pop(y) <= 1e-20 * F.avg(y * y))
-    return F.when(~flat, F.covar_pop(x, y) / F.sqrt(F.var_pop(x) * F.var_pop(y)))
+    """Aggregate: the same r, the default measure."""
+    return F.when(~(_flat(x) | _flat(y)), F.covar_pop(x, y) / F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
 
 def shared_items(ratings: DataFrame, pairs: DataFrame) -> DataFrame:

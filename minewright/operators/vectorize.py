@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from minewright.functions import text
+from minewright.session import cut
 
 
 def word_counts(entries: DataFrame, by: str, words) -> DataFrame:
@@ -41,9 +42,21 @@ def matrix_rows(counts: DataFrame, vocabulary: DataFrame, feeds: DataFrame) -> D
 
 
 def first_by(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """Keep the earliest row of every key; Spark applies the rank filter before the shuffle too."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(seq))
-    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """Keep the earliest row of every key.
+
+    Only keys and numbers are grouped. The keys that come twice then tell which rows to leave out, so the
+    other columns move only if these keys are too many to be sent to the rows. Of rows with one key and number any one stays.
+    """
+    twice = cut(rows.groupBy(key, seq).agg(F.count("*").alias("_ties")).groupBy(key).agg(
+        F.sum("_ties").alias("_rows"), F.min(F.struct(seq, "_ties")).alias("_first")).where("_rows > 1").select(
+        F.col(key).alias("_key"), F.col(f"_first.{seq}").alias("_seq"), "_first._ties"), "twice")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    kept = rows.join(twice, same, "left").where(F.col("_ties").isNull() | F.col(seq).eqNullSafe(F.col("_seq")))
+    if not twice.where("_ties > 1").isEmpty():
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(seq))
+        tied = F.coalesce(F.col("_ties") > 1, F.lit(False))
+        kept = kept.where(~tied).unionByName(kept.where(tied).withColumn("_rank", rank).where("_rank = 1").drop("_rank"))
+    return kept.select(*rows.columns)
 
 
 def first_by_title(entries: DataFrame) -> DataFrame:
@@ -71,7 +84,7 @@ def tfidf(counts: DataFrame, documents: DataFrame, max_df: float = 0.95, feature
                   .where(F.col("df") <= max_df * F.col("docs"))
                   .orderBy(F.desc("total"), "word").limit(features)
                   .select("word", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf")))
-    raw = counts.join(F.broadcast(vocabulary), "word").withColumn("raw", F.col("n") * F.col("idf"))
+    raw = counts.join(vocabulary, "word").withColumn("raw", F.col("n") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
     return raw.select("doc_id", "word", (F.col("raw") / norm).alias("weight"))
 

@@ -63,8 +63,12 @@ class Site:
         self.pages = first_by(t.pages, "url", "page_id")
 
     @cached_property
+    def store(self):
+        return index.posting_store(index.postings(self.pages), scratch_path(self.pages.sparkSession, "postings"))
+
+    @property
     def postings(self):
-        return cut(index.postings(self.pages), "postings")
+        return index.locations(self.store)
 
     @cached_property
     def links(self):
@@ -81,7 +85,7 @@ class Site:
         return index.dictionary(self.urls(), "url", "url_id")
 
     def word_list(self):
-        return index.dictionary(self.postings.select("word").union(self.anchor_words.select("word")), "word", "word_id")
+        return index.dictionary(self.store.select("word").union(self.anchor_words.select("word")), "word", "word_id")
 
     def edges(self):
         return self.links.where("from_url <> to_url").select(F.col("from_url").alias("from_id"), F.col("to_url").alias("to_id"))
@@ -94,7 +98,7 @@ class Site:
     @cached_property
     def query(self):
         """The query: the two words found on most pages, in that order."""
-        top = (self.postings.select("url", "word").distinct().groupBy("word").agg(F.count("*").alias("n"))
+        top = (self.store.groupBy("word").agg(F.count("*").alias("n"))
                .orderBy(F.desc("n"), "word").limit(2))
         ordered = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("w"))
         return cut(ordered.select(F.posexplode(F.col("w.word")).alias("word_no", "word")), "query")
@@ -144,7 +148,7 @@ def word_location(t: Tables):
 @plan("new_pages", f"{INDEXED} SELECT url FROM url_list WHERE url NOT IN (SELECT url FROM postings)")
 def new_pages(t: Tables):
     site = Site(t)
-    return index.new_pages(site.urls(), site.postings)
+    return index.new_pages(site.urls(), site.store)
 
 
 @plan("page_links", f"{INDEXED} SELECT page_id, seq, from_url, to_url, anchor FROM page_links")
@@ -302,11 +306,10 @@ def score_link_text(t: Tables):
 
 def scored_pages(t: Tables):
     site = Site(t)
-    rows, ranks = site.matches, site.ranks
-    return ranking.combined([
-        (1.0, ranking.location_score(rows)), (1.0, ranking.frequency_score(rows)),
-        (1.0, ranking.rank_score(rows, ranks)),
-        (1.0, ranking.link_text_score(rows, site.anchor_words, ranks, site.query))])
+    ranks = site.ranks
+    scores = ranking.page_scores(ranking.matched_pages(site.store, site.query), {
+        "rank": ranks.select("url", F.col("score").alias("value")), "votes": ranking.link_votes(site.anchor_words, ranks, site.query)}, {"location"})
+    return ranking.weighted(scores, dict.fromkeys(("location", "frequency", "rank", "votes"), 1.0))
 
 
 TOTAL = f"""{RANKED}, total AS (

@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from minewright.operators import similarity as sim
-from minewright.plans.bindings import NEIGHBOURS, PREFS, neighbours, prefs
+from minewright.plans.bindings import NEIGHBOURS, PREFS, neighbours, prefs, stored_prefs
 from minewright.registry import Tables, plan
 
 SHARED = f"""{PREFS}, {NEIGHBOURS}, met AS (
   SELECT p.a, p.b, x.item, x.rating AS x, y.rating AS y FROM pairs p
   JOIN prefs x ON x.person = p.a JOIN prefs y ON y.person = p.b AND y.item = x.item)"""
 
-PEARSON = """CASE WHEN sum(x * x) - sum(x) * sum(x) / count(*) <= 1e-9 * sum(x * x)
-    OR sum(y * y) - sum(y) * sum(y) / count(*) <= 1e-9 * sum(y * y) THEN NULL
-  ELSE (sum(x * y) - sum(x) * sum(y) / count(*))
-    / sqrt((sum(x * x) - sum(x) * sum(x) / count(*)) * (sum(y * y) - sum(y) * sum(y) / count(*))) END"""
 CENTERED = """CASE WHEN var_pop(x) > 1e-20 * avg(x * x) AND var_pop(y) > 1e-20 * avg(y * y)
   THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END"""
+PEARSON = """CASE WHEN var_pop(x) > 1e-20 * avg(x * x) AND var_pop(y) > 1e-20 * avg(y * y)
+  THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END"""
+OFFSET = 1e5
 DISTANCE = "1 / (1 + sum((x - y) * (x - y)))"
 
 
-def _pair_oracle(measure):
-    return f"""WITH {SHARED}, scored AS (SELECT a, b, {measure} AS sim, true AS met FROM met GROUP BY a, b)
+def _pair_oracle(measure, shared=SHARED):
+    return f"""WITH {shared}, scored AS (SELECT a, b, {measure} AS sim, true AS met FROM met GROUP BY a, b)
 SELECT a, b, round(CASE WHEN met THEN sim ELSE 0 END, 6) AS sim FROM pairs LEFT JOIN scored USING (a, b)"""
 
 
@@ -30,14 +29,14 @@ def _rounded(df, column, digits=6):
     return df.withColumn(column, F.round(column, digits))
 
 
-def _pair_query(t: Tables, measure):
-    ratings = prefs(t)
+def _pair_query(t: Tables, measure, offset: float = 0.0):
+    ratings = stored_prefs(t).withColumn("rating", F.col("rating") + offset)
     return _rounded(sim.similarity(ratings, neighbours(ratings), measure), "sim")
 
 
 @plan("shared_items", f"WITH {SHARED} SELECT a, b, item FROM met")
 def shared_items(t: Tables):
-    ratings = prefs(t)
+    ratings = stored_prefs(t)
     return sim.shared_items(ratings, neighbours(ratings)).select("a", "b", "item")
 
 
@@ -51,6 +50,12 @@ def sim_pearson(t: Tables):
     return _pair_query(t, sim.pearson)
 
 
+@plan("sim_pearson_offset", _pair_oracle(PEARSON, SHARED.replace("x.rating AS x, y.rating AS y", f"x.rating + {OFFSET} AS x, y.rating + {OFFSET} AS y")))
+def sim_pearson_offset(t: Tables):
+    """The same ratings on a scale that begins far from zero."""
+    return _pair_query(t, sim.pearson, OFFSET)
+
+
 @plan("sim_pearson_centered", _pair_oracle(CENTERED))
 def sim_pearson_centered(t: Tables):
     return _pair_query(t, sim.pearson_centered)
@@ -61,7 +66,7 @@ def transpose(t: Tables):
     return _rounded(sim.transpose(prefs(t)), "rating")
 
 
-def _busiest(ratings):
+def _idlest(ratings):
     """The target: the person with the fewest rated items (most to recommend), lowest key on ties."""
     return (ratings.groupBy("person").agg(F.count("*").alias("n"))
             .orderBy("n", "person").limit(1).select("person"))
@@ -79,16 +84,16 @@ sims AS (
 @plan("top_matches", f"""WITH {AGAINST}
 SELECT other, round(sim, 6) AS sim FROM sims ORDER BY round(sims.sim, 6) DESC NULLS LAST, other DESC LIMIT 5""")
 def top_matches(t: Tables):
-    ratings = prefs(t)
-    return sim.top_matches(ratings, _busiest(ratings), 5, lambda x, y: F.round(sim.pearson_centered(x, y), 6))
+    ratings = stored_prefs(t)
+    return sim.top_matches(ratings, _idlest(ratings), 5, lambda x, y: F.round(sim.pearson_centered(x, y), 6))
 
 
 @plan("recommend_user", f"""WITH {AGAINST}
 SELECT item, round(sum(rating * sim) / sum(sim), 6) AS score FROM prefs JOIN sims ON person = other
 WHERE sim > 0 AND item NOT IN (SELECT item FROM mine WHERE x <> 0) GROUP BY item""")
 def recommend_user(t: Tables):
-    ratings = prefs(t)
-    return _rounded(sim.recommendations(ratings, _busiest(ratings)), "score")
+    ratings = stored_prefs(t)
+    return _rounded(sim.recommendations(ratings, _idlest(ratings)), "score")
 
 
 MATCHES = f"""{PREFS}, scored AS (
@@ -114,5 +119,5 @@ FROM prefs p JOIN matches m ON p.item = m.item
 WHERE NOT EXISTS (SELECT 1 FROM prefs r WHERE r.person = p.person AND r.item = m.other)
 GROUP BY p.person, m.other""")
 def recommend_item(t: Tables):
-    ratings = prefs(t)
+    ratings = stored_prefs(t)
     return _rounded(sim.recommended_items(ratings, _matches(ratings)), "score")
