@@ -302,7 +302,8 @@ def _spans(docs: DataFrame, texts: DataFrame, length: int, block: int, piece: in
     width = (length - min(16, length // 2) + 2) // 2
     kinds = "row long, core_hash long, passage_hash long, first int, last int, core int"
     starts = cut(texts.mapInArrow(lean(_passages(length, width, piece)), kinds), "passages")
-    often = starts.groupBy("core_hash").agg(F.count("*").alias("n")).where("n > 1").select("core_hash")
+    # Written first: only a join of two plain shuffles can divide the passages of one very common core.
+    often = cut(starts.groupBy("core_hash").agg(F.count("*").alias("n")).where("n > 1").select("core_hash"), "often")
     shared = cut(starts.join(often, "core_hash", "left_semi"), "shared")
     one = cut(shared.groupBy("core_hash", "passage_hash").agg((F.count("*") > 1).alias("several"), F.min(F.struct("row", "first", "last", "core")).alias("one"))
               .select("one.row", F.struct("core_hash", "passage_hash", "several", "one.first", "one.last", "one.core").alias("p")), "one")
