@@ -1,9 +1,10 @@
 """Exact nearest neighbours without comparing everything with everything.
 
 Samples are ``id, input ARRAY<DOUBLE>, result``. Space is cut into nested grids. A query takes the
-finest square that holds enough samples: its diagonal bounds the k-th distance, so only squares
+finest square that holds enough samples: the k-th distance there bounds how far the answer can lie, so only squares
 within that reach are joined. Crowded regions use fine squares, sparse ones coarse squares, and the
-answer is the same as a full comparison.
+answer is the same as a full comparison. With more than four dimensions the grid lies over the distances to a
+few pivots: two points are at least as far apart as their distances to any pivot differ.
 """
 
 from __future__ import annotations
@@ -21,18 +22,21 @@ from minewright.operators.pairs import spread
 from minewright.session import cut
 
 GRID_DIMS = 4
+#: Samples of a square that meet their queries in one task; a square with more is joined in parts.
+BLOCK = 4000
+#: Rows among which the pivots are chosen.
+PIVOT_SAMPLE = 200
 PRIME = 2147483647
 
 
 @dataclass
 class Grid:
-    """Nested squares over the widest dimensions; level ``l`` halves the side ``l`` times."""
+    """Nested squares over the places ``_at``; level ``l`` halves the side ``l`` times. ``bounded``: a square's diagonal bounds distances in it."""
 
-    axes: list[int]
     low: list[float]
     side: float
-    rest: float
     levels: int
+    bounded: bool
 
     def squares(self, level: Column) -> Column:
         return F.pow(F.lit(2.0), level)
@@ -41,113 +45,162 @@ class Grid:
         at = F.floor((value - self.low[axis]) / self.side * self.squares(level))
         return F.greatest(F.lit(0).cast("long"), F.least(at, self.squares(level).cast("long") - 1))
 
-    def cell(self, vector: Column, level: Column) -> Column:
-        return F.array(*[self.index(F.get(vector, F.lit(axis)), i, level) for i, axis in enumerate(self.axes)])
+    def cell(self, at: Column, level: Column) -> Column:
+        return F.array(*[self.index(F.get(at, F.lit(i)), i, level) for i in range(len(self.low))])
+
+    def above(self, cell: Column, level: Column) -> Column:
+        """The square of ``level`` around a finest square: its indices halved."""
+        return F.transform(cell, lambda c: F.call_function("shiftright", c, (F.lit(self.levels) - level).cast("int")))
 
     def reach(self, level: Column) -> Column:
         """No two points of a square are farther apart than this."""
         edge = self.side / self.squares(level)
-        return F.sqrt(len(self.axes) * edge * edge + self.rest) * (1 + 1e-9)
+        return F.sqrt(len(self.low) * edge * edge) * (1 + 1e-9) if self.bounded else F.lit(float("inf"))
+
+
+def _pivots(data: DataFrame, dims: int) -> list[list[float]]:
+    """Rows far from each other, chosen from the ``PIVOT_SAMPLE`` rows of least hashed input."""
+    rows = [r["input"] for r in data.select("input").orderBy(F.xxhash64("input"), "input").limit(PIVOT_SAMPLE).collect()]
+    chosen = rows[:1]
+    while rows and len(chosen) < GRID_DIMS:
+        chosen.append(max(rows, key=lambda row: min(math.dist(row[:dims], c[:dims]) for c in chosen)))
+    return chosen
+
+
+def _located(df: DataFrame, dims: int, pivots: list[list[float]] | None) -> DataFrame:
+    """Adds ``_at``: the coordinates, or the distances to the pivots."""
+    if pivots is None:
+        return df.withColumn("_at", F.col("input"))
+    return df.withColumn("_at", F.array(*[kernels.euclidean(F.col("input"), F.array(*[F.lit(float(v)) for v in p]), dims) for p in pivots]))
 
 
-def _grid(data: DataFrame, queries: DataFrame, dims: int) -> Grid:
-    both = data.select("input", F.lit(1).alias("n")).unionByName(queries.select("input", F.lit(0).alias("n")))
-    at = [F.get("input", F.lit(i)) for i in range(dims)]
+def _grid(data: DataFrame, queries: DataFrame, dims: int, bounded: bool) -> Grid:
+    both = data.select("_at", F.lit(1).alias("n")).unionByName(queries.select("_at", F.lit(0).alias("n")))
+    at = [F.get("_at", F.lit(i)) for i in range(dims)]
     box = both.agg(F.sum("n").alias("n"), *[F.min(v).alias(f"l{i}") for i, v in enumerate(at)],
                    *[F.max(v).alias(f"h{i}") for i, v in enumerate(at)]).first()
-    widths = {i: (box[f"h{i}"] or 0.0) - (box[f"l{i}"] or 0.0) for i in range(dims)}
-    axes = sorted(widths, key=lambda i: -widths[i])[:GRID_DIMS]
-    rest = sum(width * width for i, width in widths.items() if i not in axes)
+    widths = [(box[f"h{i}"] or 0.0) - (box[f"l{i}"] or 0.0) for i in range(dims)]
     # Fine enough for regions sixty-four times denser per dimension than an even spread.
-    levels = math.ceil(math.log2(max(box["n"] or 1, 2)) / len(axes)) + 6
-    return Grid(axes, [box[f"l{i}"] or 0.0 for i in axes], max(widths.values()) or 1.0, rest, levels)
+    levels = math.ceil(math.log2(max(box["n"] or 1, 2)) / max(dims, 1)) + 6
+    return Grid([box[f"l{i}"] or 0.0 for i in range(dims)], max(widths, default=0.0) or 1.0, levels, bounded)
 
 
 def _levels(top: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(top)))
 
 
+def _first_copies(data: DataFrame, by: list[str], dims: int, copies: int) -> DataFrame:
+    """Of equal inputs the ``copies`` lowest ids; ``_rest`` marks the next one, which stands for all that follow."""
+    place = [F.get("input", F.lit(axis)) for axis in range(dims)]
+    lowest = F.row_number().over(Window.partitionBy(*by, *place).orderBy("id"))
+    return (data.withColumn("_copy", lowest).where(F.col("_copy") <= copies + 1)
+            .withColumn("_rest", F.col("_copy") == copies + 1).drop("_copy"))
+
+
 def nearest(data: DataFrame, queries: DataFrame, k: int, dims: int, key: list[str], by: list[str] | None = None,
-            keep: Callable[[], Column] | None = None) -> DataFrame:
+            keep: Callable[[], Column] | None = None, block: int = BLOCK) -> DataFrame:
     """``*key, *by, id, result, distance, rank`` of the ``k`` nearest samples of each query.
 
     ``key`` names a query, ``by`` columns shared with the data separate independent sets, and
-    ``keep`` may reject a sample for a query (over the columns of both). A query that meets too few
-    accepted samples within its reach is asked again two levels coarser, up to the whole space.
+    ``keep`` may reject a sample for a query (over the columns of both).
+
+    The finest squares are counted once and rolled up by halving their indices. Of equal inputs only the lowest ids are
+    looked at: ``k`` of them, or with ``keep`` some more and a mark for the rest; a query whose answer would reach such a mark is
+    asked again with eight times as many. One that meets too few accepted samples is asked again two levels coarser, up to the
+    whole space. A square with more than ``block`` samples meets its queries in parts.
     """
     by = by or []
-    queries = cut(queries, "queries")
-    if keep is None:
-        # Of equal inputs only the k lowest ids can be chosen, so heaps of copies shrink first.
-        place = [F.get("input", F.lit(i)) for i in range(dims)]
-        lowest = F.row_number().over(Window.partitionBy(*by, *place).orderBy("id"))
-        data = data.withColumn("_copy", lowest).where(F.col("_copy") <= k).drop("_copy")
-    data = cut(data, "samples")
-    grid = _grid(data, queries, dims)
+    pivots = _pivots(data, dims) if dims > GRID_DIMS else None
+    queries = cut(_located(queries, dims, pivots), "queries")
+    data = cut(_located(data, dims, pivots), "samples")
+    copies = least = k if keep is None else 4 * k + 16
+
+    def shown(copies: int) -> DataFrame:
+        few = _first_copies(data, by, dims, copies)
+        return cut(few.where(~F.col("_rest")) if keep is None else few, "copies")
+
+    samples = shown(copies)
+    grid = _grid(samples, queries, len(pivots) if pivots is not None else dims, pivots is None)
     level = F.col("level")
-    filled = (data.select(*by, "input", _levels(grid.levels).alias("level"))
-              .select(*by, "level", grid.cell(F.col("input"), level).alias("cell"))
-              .groupBy(*by, "level", "cell").agg(F.count("*").alias("n"))
-              .where(F.col("n") >= (k if keep is None else 2 * k)).drop("n"))
-    at = queries.select(*by, *key, "input", _levels(grid.levels).alias("level")).withColumn("cell", grid.cell(F.col("input"), level))
+    finest = cut(samples.groupBy(*by, grid.cell(F.col("_at"), F.lit(grid.levels)).alias("cell")).agg(F.count("*").alias("n")), "cells")
+    counts = (finest.select(*by, "n", "cell", _levels(grid.levels).alias("level"))
+              .groupBy(*by, "level", grid.above(F.col("cell"), level).alias("cell")).agg(F.sum("n").alias("n")))
+    counts = cut(counts.where(F.col("n") >= min(k, block)), "squares")
+    at = queries.select(*by, *key, "_at", _levels(grid.levels).alias("level")).withColumn("cell", grid.cell(F.col("_at"), level))
+    filled = counts.where(F.col("n") >= (k if keep is None else 2 * k)).drop("n")
     found = at.join(filled, [*by, "level", "cell"]).groupBy(*by, *key).agg(F.max("level").alias("level"))
     asked = cut(queries.join(found, [*by, *key], "left").withColumn("level", F.coalesce("level", F.lit(0))), "asked")
     answers = []
     while True:
-        met = _answer(data, asked, k, dims, grid, key, by, keep)
+        size = F.col("n") * (copies / least)
+        heavy = counts.where(size > block).select(*by, "level", F.col("cell").alias("_cell"), F.ceil(size / block).alias("_parts"))
+        met = _answer(samples, asked, heavy, k, dims, grid, key, by, keep)
         if keep is None:
-            return met.drop("_full")
+            return met.drop("_full", "_capped")
         met = cut(met, "met")
-        answers.append(met.where("_full").drop("_full"))
-        full = met.where("_full").select(*by, *key).distinct()
-        asked = asked.where("level > 0").join(full, [*by, *key], "left_anti").withColumn(
-            "level", F.greatest(F.col("level") - 2, F.lit(0)))
-        asked = cut(asked, "asked")
-        if asked.isEmpty():
+        answers.append(met.where("_full").drop("_full", "_capped"))
+        done = met.groupBy(*by, *key).agg(F.max("_full").alias("_full"), F.max("_capped").alias("_capped"))
+        capped = F.coalesce("_capped", F.lit(False))
+        again = asked.join(done, [*by, *key], "left").where(~F.coalesce("_full", F.lit(False)) & (capped | (level > 0)))
+        asked = cut(again.withColumn("level", F.when(capped, level).otherwise(F.greatest(level - 2, F.lit(0)))).drop("_full"), "asked")
+        state = asked.agg(F.count("*").alias("n"), F.max("_capped").alias("capped")).first()
+        asked = asked.drop("_capped")
+        if not state["n"]:
             return reduce(DataFrame.unionByName, answers)
+        if state["capped"]:
+            copies *= 8
+            samples = shown(copies)
 
 
-def _placed(data: DataFrame, asked: DataFrame, grid: Grid, by: list[str]) -> DataFrame:
+def _placed(samples: DataFrame, asked: DataFrame, grid: Grid, by: list[str]) -> DataFrame:
     """The samples in their squares, at the levels some query uses."""
     used = [r[0] for r in asked.select("level").distinct().collect()] or [0]
-    at = data.select(*by, "id", "result", F.col("input").alias("_input"), F.explode(F.array(*[F.lit(u) for u in used])).alias("level"))
-    return at.withColumn("_cell", grid.cell(F.col("_input"), F.col("level")))
+    at = samples.select(*by, "id", "result", "_rest", F.col("input").alias("_input"), F.col("_at").alias("_place"),
+                        F.explode(F.array(*[F.lit(u) for u in used])).alias("level"))
+    return at.withColumn("_cell", grid.cell(F.col("_place"), F.col("level"))).drop("_place")
 
 
-def _answer(data, asked, k, dims, grid, key, by, keep) -> DataFrame:
-    """One round: the k best accepted samples, and whether they are certain (``_full``).
+def _answer(samples, asked, heavy, k, dims, grid, key, by, keep) -> DataFrame:
+    """One round: the k best accepted samples, whether they are certain (``_full``), and if not, whether a mark is among them (``_capped``).
 
     The k-th distance inside a query's own square bounds how far the answer can lie; only
     squares within that bound are joined. Without k accepted samples there, the diagonal is used.
     """
-    placed = _placed(data, asked, grid, by)
+    place = [*by, "level", "_cell"]
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    placed = _placed(samples, asked, grid, by).join(heavy, place, "left").withColumn("_part", F.pmod(F.xxhash64("id"), parts)).drop("_parts")
     gap = kernels.euclidean(F.col("input"), F.col("_input"), dims).alias("distance")
     order = Window.partitionBy(*by, *key).orderBy("distance", "id")
 
     def meeting(asks: DataFrame) -> DataFrame:
-        keys = [*by, "level", "_cell"]
-        met = spread(asks, keys).join(placed, keys)
-        return met.where(keep()) if keep is not None else met
+        everywhere = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_part")
+        asks = asks.join(heavy, place, "left").select(*asks.columns, everywhere)
+        met = spread(asks, [*place, "_part"]).join(placed, [*place, "_part"])
+        return met.where(F.col("_rest") | keep()) if keep is not None else met
 
-    own = meeting(asked.withColumn("_cell", grid.cell(F.col("input"), F.col("level")))).select(*by, *key, "id", gap)
+    own = meeting(asked.withColumn("_cell", grid.cell(F.col("_at"), F.col("level")))).where(~F.col("_rest")).select(*by, *key, "id", gap)
     bound = (own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
              .groupBy(*by, *key).agg(F.count("*").alias("_n"), F.max("distance").alias("_kth"))
              .where(F.col("_n") == k).select(*by, *key, (F.col("_kth") * (1 + 1e-9) + 1e-12).alias("_kth")))
     level = F.col("level")
     widest = F.when(level == 0, F.lit(float("inf"))).otherwise(grid.reach(level))
-    asks = cut(asked.join(bound, [*by, *key], "left").withColumn("_reach", F.coalesce("_kth", widest)).drop("_kth"), "reach")
-    for i, axis in enumerate(grid.axes):
-        place = F.get("input", F.lit(axis))
-        low = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(place - F.col("_reach"), i, level))
-        high = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(place + F.col("_reach"), i, level))
+    asks = asked.join(bound, [*by, *key], "left").withColumn("_reach", F.coalesce("_kth", widest)).drop("_kth")
+    # Unbounded squares say nothing without k samples: such a query waits for a coarser level.
+    asks = cut(asks.where((level == 0) | (F.col("_reach") < float("inf"))), "reach")
+    for i in range(len(grid.low)):
+        at = F.get("_at", F.lit(i))
+        low = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(at - F.col("_reach"), i, level))
+        high = F.when(level == 0, F.lit(0).cast("long")).otherwise(grid.index(at + F.col("_reach"), i, level))
         asks = asks.select("*", F.explode(F.sequence(low, high)).alias(f"_c{i}"))
-    cells = [f"_c{i}" for i in range(len(grid.axes))]
+    cells = [f"_c{i}" for i in range(len(grid.low))]
     asks = asks.withColumn("_cell", F.array(*cells)).drop(*cells)
-    met = meeting(asks).select(*by, *key, "id", "result", "_reach", gap).where(F.col("distance") <= F.col("_reach"))
+    met = meeting(asks).select(*by, *key, "id", "result", "_rest", "_reach", gap).where(F.col("distance") <= F.col("_reach"))
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     # At most k rows per query are left here.
-    enough = (F.count("*").over(Window.partitionBy(*by, *key)) == k) | (F.col("_reach") == float("inf"))
-    return ranked.withColumn("_full", enough).drop("_reach")
+    together = Window.partitionBy(*by, *key)
+    marked = F.max("_rest").over(together)
+    enough = (F.count("*").over(together) == k) | (F.col("_reach") == float("inf"))
+    return ranked.withColumn("_full", enough & ~marked).withColumn("_capped", marked).drop("_reach", "_rest")
 
 
 def estimate(neighbours: DataFrame, key: list[str]) -> DataFrame:
