@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minewright.functions import kernels
-from minewright.session import cut
+from minewright.session import cut, laid_out
 
 
 def uniform(*parts: Column) -> Column:
@@ -32,6 +32,12 @@ def gram(side: DataFrame, vector: str, factors: int) -> Column:
     return side.agg(F.array(*[F.array(*[sums[min(a, b), max(a, b)] for b in range(factors)]) for a in range(factors)])).scalar()
 
 
+def _pulled(matrix: DataFrame, fixed: DataFrame, fixed_key: str, moved_key: str, fixed_vector: str, factors: int) -> DataFrame:
+    """``moved_key, pull``: V times the fixed side, one array per moved key, summed in every task before the shuffle."""
+    parts = [F.sum(F.col("v") * F.get(fixed_vector, F.lit(a))) for a in range(factors)]
+    return matrix.join(fixed, fixed_key).groupBy(moved_key).agg(F.array(*parts).alias("pull"))
+
+
 def _updated(matrix: DataFrame, fixed: DataFrame, moved: DataFrame, fixed_key: str, moved_key: str,
              fixed_vector: str, moved_vector: str, factors: int) -> DataFrame:
     """One multiplicative update of ``moved``: times (V · fixed) over (moved · gram of fixed).
@@ -39,8 +45,7 @@ def _updated(matrix: DataFrame, fixed: DataFrame, moved: DataFrame, fixed_key: s
     The products are summed per moved key before the shuffle, so a hot row or column costs one
     partial sum per task. A zero denominator gives 0.
     """
-    parts = [F.sum(F.col("v") * F.get(fixed_vector, F.lit(a))) for a in range(factors)]
-    pulled = matrix.join(fixed, fixed_key).groupBy(moved_key).agg(F.array(*parts).alias("pull"))
+    pulled = _pulled(matrix, fixed, fixed_key, moved_key, fixed_vector, factors)
     rows = moved.join(pulled, moved_key).withColumn("gram", gram(fixed, fixed_vector, factors))
     spread = F.transform("gram", lambda row: kernels.dot(row, F.col(moved_vector)))
     new = F.zip_with(F.zip_with(moved_vector, "pull", lambda m, p: m * p), spread,
@@ -55,10 +60,10 @@ def step(matrix: DataFrame, w: DataFrame, h: DataFrame, factors: int) -> tuple[D
 
 
 def cost(matrix: DataFrame, w: DataFrame, h: DataFrame, factors: int) -> DataFrame:
-    """One row ``cost``: squared error over all cells, from the entries and the two small products."""
-    met = matrix.join(w, "i").join(h, "j")
-    sums = met.agg(F.sum(F.col("v") * F.col("v")).alias("vv"), F.sum(F.col("v") * kernels.dot(F.col("w"), F.col("h"))).alias("vwh"))
-    both = sums.withColumn("gw", gram(w, "w", factors)).withColumn("gh", gram(h, "h", factors))
+    """One row ``cost``: squared error over all cells, from the entries, V times W and the two small products."""
+    squares = matrix.agg(F.coalesce(F.sum(F.col("v") * F.col("v")), F.lit(0.0)).alias("vv"))
+    met = h.join(_pulled(matrix, w, "i", "j", "w", factors), "j").agg(F.coalesce(F.sum(kernels.dot(F.col("h"), F.col("pull"))), F.lit(0.0))).scalar()
+    both = squares.withColumn("vwh", met).withColumn("gw", gram(w, "w", factors)).withColumn("gh", gram(h, "h", factors))
     trace = F.aggregate(F.zip_with("gw", "gh", kernels.dot), F.lit(0.0), lambda s, v: s + v)
     return both.select((F.col("vv") - 2 * F.col("vwh") + trace).alias("cost"))
 
@@ -66,15 +71,17 @@ def cost(matrix: DataFrame, w: DataFrame, h: DataFrame, factors: int) -> DataFra
 def factorize(matrix: DataFrame, factors: int = 10, rounds: int = 50, check_every: int = 10) -> tuple[DataFrame, DataFrame]:
     """W and H after ``rounds`` updates, or earlier if the product is exact.
 
-    Both sides are written every half round: each is read three times by the next one, so a
-    lazy chain would be computed three times over per round.
+    The matrix is laid out twice, by rows and by columns, and each factor by its own key. A half round joins the
+    matrix where it lies with the factor that stays, and moves only the sums for the factor that changes; that one is
+    written, since the next half round reads it three times.
     """
     matrix = cut(matrix.select("i", "j", F.col("v").cast("double").alias("v")), "matrix")
-    w, h = cut(start(matrix, "i", "w", factors), "w"), cut(start(matrix, "j", "h", factors), "h")
+    by_i, by_j = laid_out(matrix, ["i"], "matrix_i"), laid_out(matrix, ["j"], "matrix_j")
+    w, h = laid_out(start(matrix, "i", "w", factors), ["i"], "w"), laid_out(start(matrix, "j", "h", factors), ["j"], "h")
     for done in range(1, rounds + 1):
-        h = cut(_updated(matrix, w, h, "i", "j", "w", "h", factors), "h")
-        w = cut(_updated(matrix, h, w, "j", "i", "h", "w", factors), "w")
-        if done % check_every == 0 and done < rounds and (cost(matrix, w, h, factors).first()["cost"] or 0.0) == 0.0:
+        h = laid_out(_updated(by_i, w, h, "i", "j", "w", "h", factors), ["j"], "h", placed=True)
+        w = laid_out(_updated(by_j, h, w, "j", "i", "h", "w", factors), ["i"], "w", placed=True)
+        if done % check_every == 0 and done < rounds and (cost(by_i, w, h, factors).first()["cost"] or 0.0) == 0.0:
             break
     return w, h
 

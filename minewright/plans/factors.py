@@ -35,23 +35,28 @@ def volume_matrix(t: Tables):
 
 
 def rounds_oracle(source, k, rounds=1):
-    """``w{rounds}`` and ``h{rounds}``: the updates spelled out round by round."""
+    """``w{rounds}`` and ``h{rounds}`` in long form: the updates spelled out round by round over one list per key."""
     def unit(key, side):
-        return f"(('0x' || substr(md5({key} || '-{side}' || a), 1, 7))::BIGINT + 1) / 268435457.0::DOUBLE"
+        return "[" + ", ".join(f"(('0x' || substr(md5({key} || '-{side}{a}'), 1, 7))::BIGINT + 1) / 268435457.0::DOUBLE" for a in range(k)) + "]"
+
+    def gram(side):
+        return "[" + ", ".join("[" + ", ".join(f"sum({side}[{min(a, b)}] * {side}[{max(a, b)}])" for b in range(1, k + 1)) + "]" for a in range(1, k + 1)) + "]"
+
+    def update(n, fixed, moved, key, other, fixed_round, moved_round):
+        pull = ", ".join(f"sum(v * {fixed}[{a}])" for a in range(1, k + 1))
+        fresh = ", ".join(f"coalesce({moved}[{a}] * p[{a}] / nullif(list_inner_product({moved}, g[{a}]), 0), 0)" for a in range(1, k + 1))
+        return f"""{moved}s{n} AS MATERIALIZED (
+  SELECT {key}, [{fresh}] AS {moved} FROM {moved}s{moved_round} JOIN (
+    SELECT {key}, [{pull}] AS p FROM m JOIN {fixed}s{fixed_round} USING ({other}) GROUP BY {key}) USING ({key}),
+    (SELECT {gram(fixed)} AS g FROM {fixed}s{fixed_round}))"""
 
     parts = [f"""m AS MATERIALIZED ({source}),
-w0 AS MATERIALIZED (SELECT i, a, {unit('i', 'w')} AS w FROM (SELECT DISTINCT i FROM m), (SELECT unnest(range({k})) AS a)),
-h0 AS MATERIALIZED (SELECT j, a, {unit('j', 'h')} AS h FROM (SELECT DISTINCT j FROM m), (SELECT unnest(range({k})) AS a))"""]
-    for r in range(rounds):
-        n = r + 1
-        parts.append(f"""gw{n} AS (SELECT p.a, q.a AS b, sum(p.w * q.w) AS g FROM w{r} p JOIN w{r} q USING (i) GROUP BY p.a, q.a),
-ph{n} AS (SELECT j, a, sum(v * w) AS pull FROM m JOIN w{r} USING (i) GROUP BY j, a),
-sh{n} AS (SELECT j, g.a, sum(g * h) AS spread FROM h{r} JOIN gw{n} g ON g.b = h{r}.a GROUP BY j, g.a),
-h{n} AS MATERIALIZED (SELECT j, a, coalesce(h * pull / nullif(spread, 0), 0) AS h FROM h{r} JOIN ph{n} USING (j, a) JOIN sh{n} USING (j, a)),
-gh{n} AS (SELECT p.a, q.a AS b, sum(p.h * q.h) AS g FROM h{n} p JOIN h{n} q USING (j) GROUP BY p.a, q.a),
-pw{n} AS (SELECT i, a, sum(v * h) AS pull FROM m JOIN h{n} USING (j) GROUP BY i, a),
-sw{n} AS (SELECT i, g.a, sum(g * w) AS spread FROM w{r} JOIN gh{n} g ON g.b = w{r}.a GROUP BY i, g.a),
-w{n} AS MATERIALIZED (SELECT i, a, coalesce(w * pull / nullif(spread, 0), 0) AS w FROM w{r} JOIN pw{n} USING (i, a) JOIN sw{n} USING (i, a))""")
+ws0 AS MATERIALIZED (SELECT i, {unit('i', 'w')} AS w FROM (SELECT DISTINCT i FROM m)),
+hs0 AS MATERIALIZED (SELECT j, {unit('j', 'h')} AS h FROM (SELECT DISTINCT j FROM m))"""]
+    for n in range(1, rounds + 1):
+        parts += [update(n, "w", "h", "j", "i", n - 1, n - 1), update(n, "h", "w", "i", "j", n, n - 1)]
+    parts.append(f"""w{rounds} AS (SELECT i, generate_subscripts(w, 1) - 1 AS a, unnest(w) AS w FROM ws{rounds}),
+h{rounds} AS (SELECT j, generate_subscripts(h, 1) - 1 AS a, unnest(h) AS h FROM hs{rounds})""")
     return ",\n".join(parts)
 
 

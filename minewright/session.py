@@ -40,15 +40,16 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def laid_out(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+def laid_out(df: DataFrame, keys: list[str], label: str, placed: bool = False) -> DataFrame:
     """The rows as a bucketed table in the shared folder: joins and sums by ``keys`` find them in place.
 
     For tables that every round of an iteration reads. There are as many buckets as shuffle partitions, so what meets
-    the table moves to its buckets and never the other way round.
+    the table moves to its buckets and never the other way round. ``placed``: the rows come from a sum or join by ``keys`` and
+    lie right already.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{label}_{uuid.uuid4().hex}"
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    ((df if placed else df.repartition(buckets, *keys)).write.bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
     return spark.table(name)

@@ -1,8 +1,13 @@
 """Topic reports read the tables as they are now."""
 
+import random
 from types import SimpleNamespace
 
+import pytest
+
+from minewright.operators import factor
 from minewright.plans import factors
+from minewright.session import laid_out
 
 
 def test_topics_are_computed_by_every_query(monkeypatch):
@@ -12,3 +17,34 @@ def test_topics_are_computed_by_every_query(monkeypatch):
     for cells in ("old", "old", "rewritten"):
         assert factors.finished_topics(SimpleNamespace(spark=spark, folder="f", cells=cells)) == (cells, cells)
     assert calls == ["old", "old", "rewritten"]
+
+
+def test_a_round_moves_no_matrix(spark):
+    """Both layouts of the matrix are read in place: no exchange stands on a scan of them."""
+    rng = random.Random(4)
+    cells = spark.createDataFrame([(i, f"w{j}", float(rng.randint(1, 9))) for i in range(40) for j in range(30) if rng.random() < 0.3], "i LONG, j STRING, v DOUBLE")
+    by_i, by_j = laid_out(cells, ["i"], "matrix_i"), laid_out(cells, ["j"], "matrix_j")
+    w, h = laid_out(factor.start(cells, "i", "w", 3), ["i"], "w"), laid_out(factor.start(cells, "j", "h", 3), ["j"], "h")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fresh in (factor._updated(by_i, w, h, "i", "j", "w", "h", 3), factor._updated(by_j, h, w, "j", "i", "h", "w", 3)):
+            plan = fresh._jdf.queryExecution().executedPlan().toString().splitlines()
+            scans = [k for k, line in enumerate(plan) if "FileScan" in line and "matrix_" in line]
+            assert scans
+            for k in scans:
+                above = [line for line in plan[max(0, k - 4):k]]
+                assert not any("Exchange" in line and "hashpartitioning" in line for line in above[-3:]), above
+            assert sum("Exchange hashpartitioning" in line for line in plan) == 1  # the sums per moved key
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cost_equals_the_dense_error(spark):
+    rng = random.Random(5)
+    cells = [(i, j, float(rng.randint(1, 9))) for i in range(12) for j in range(7) if rng.random() < 0.5]
+    matrix = spark.createDataFrame(cells, "i LONG, j LONG, v DOUBLE")
+    w, h = factor.factorize(matrix, 2, rounds=3)
+    left, right = {r.i: r.w for r in w.collect()}, {r.j: r.h for r in h.collect()}
+    dense = {(i, j): v for i, j, v in cells}
+    want = sum((dense.get((i, j), 0.0) - sum(a * b for a, b in zip(left[i], right[j]))) ** 2 for i in left for j in right)
+    assert factor.cost(matrix, w, h, 2).first()["cost"] == pytest.approx(want)
