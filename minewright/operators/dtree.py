@@ -16,31 +16,23 @@ from pyspark.sql import functions as F
 from minewright.operators.ranks import running_totals
 from minewright.session import cut
 
-Score = Callable[[list[Column]], Column]
+#: A score of a set: ``entropy`` and ``gini`` from its size and the sum of a term per label count, ``variance`` from its moments.
+Score = Callable[..., Column]
 
 
-@dataclass
-class Tree:
-    splits: DataFrame
-    leaves: DataFrame
-
-
-def _total(counts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, counts).cast("double")
+def entropy(size: Column, terms: Column) -> Column:
+    """−Σ p·log2 p from the size and Σ c·log2 c; 0 for an empty set."""
+    return F.when(size > 0, F.log2(size.cast("double")) - terms / size).otherwise(0.0)
 
 
-def entropy(counts: list[Column]) -> Column:
-    """−Σ p·log2 p from label counts; 0 for an empty set."""
-    n = _total(counts)
-    logs = reduce(lambda a, b: a + b, [F.when(c > 0, c * F.log2(c / n)).otherwise(0.0) for c in counts])
-    return F.when(n > 0, -logs / n).otherwise(0.0)
+def gini(size: Column, terms: Column) -> Column:
+    """One minus the summed squared label shares, from the size and Σ c²; 0 for an empty set."""
+    return F.when(size > 0, 1 - terms / (size.cast("double") * size)).otherwise(0.0)
 
 
-def gini(counts: list[Column]) -> Column:
-    """One minus the summed squared label shares; 0 for an empty set."""
-    n = _total(counts)
-    squares = reduce(lambda a, b: a + b, [c.cast("double") * c for c in counts])
-    return F.when(n > 0, 1 - squares / (n * n)).otherwise(0.0)
+def _term(score: Score, count: Column) -> Column:
+    """What one label adds to the terms of ``score``."""
+    return count.cast("double") * count if score is gini else F.when(count > 0, count * F.log2(count.cast("double"))).otherwise(0.0)
 
 
 def variance(moments: list[Column]) -> Column:
@@ -49,6 +41,13 @@ def variance(moments: list[Column]) -> Column:
     return F.when(n > 0, squares / n - (total / n) * (total / n)).otherwise(0.0)
 
 
+@dataclass
+class Tree:
+    splits: DataFrame
+    leaves: DataFrame
+    score: Score = entropy
+
+
 def divide_set(rows: DataFrame, column: str, value) -> DataFrame:
     """Flag ``side``: numbers at least the value, anything else equal to it."""
     test = F.col(column) == value if isinstance(value, str) else F.col(column) >= value
@@ -75,56 +74,81 @@ def condensed(rows: DataFrame, columns: list[str], label: str) -> DataFrame:
             .withColumn("node", F.lit("r")))
 
 
-def _labels(rows: DataFrame, score: Score = entropy) -> list:
-    """The class labels, which are the output dimension of the tree (a missing label is a class of its own, the last).
+def _values(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``node, column, num_value, str_value, label, n``: a row's known values."""
+    types = dict(rows.dtypes)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"),
+                               (F.lit(None) if types[c] == "string" else F.col(c)).cast("double").alias("num_value"),
+                               (F.col(c) if types[c] == "string" else F.lit(None)).cast("string").alias("str_value")) for c in columns])
+    return rows.select("node", "label", "n", F.inline(cells)).where("num_value IS NOT NULL OR str_value IS NOT NULL")
 
-    For ``variance`` the label is a number and this is its mean alone: values are measured from it.
-    """
-    if score is variance:
-        return [rows.agg(F.sum(F.col("label") * F.col("n")) / F.sum("n")).first()[0] or 0.0]
-    return sorted((r[0] for r in rows.select("label").distinct().collect()), key=lambda v: (v is None, v))
 
+def _label_sides(rows: DataFrame, columns: list[str], score: Score) -> DataFrame:
+    """``node, column, num_value, str_value`` with the size ``s0`` and terms ``s1`` inside, ``w0, w1`` of the whole node, and the terms ``o1`` outside.
 
-def best_splits(rows: DataFrame, columns: list[str], labels: list, score: Score = entropy) -> DataFrame:
+    Labels are rows: where a label's count inside moves on from value to value, only its own term changes, inside and
+    outside. These changes are summed per value and then along the values.
+    """
+    key = F.concat(F.when(F.col("label").isNull(), "0").otherwise("1"), F.coalesce(F.col("label").cast("string"), F.lit("")))
+    place = ["node", "column", "num_value", "str_value"]
+    known = rows.withColumn("label", key)
+    labels = known.groupBy("node", "label").agg(F.sum("n").alias("all"))
+    whole = labels.groupBy("node").agg(F.sum("all").alias("w0"), F.sum(_term(score, F.col("all"))).alias("w1"))
+    counts = _values(known, columns).groupBy(*place, "label").agg(F.sum("n").alias("n")).join(labels, ["node", "label"])
+    n, everything = F.col("n"), F.col("all")
+    parts = []
+    if any(kind == "string" for c, kind in rows.dtypes if c in columns):
+        parts.append(counts.where("str_value IS NOT NULL").groupBy(*place).agg(
+            F.sum("n").alias("s0"), F.sum(_term(score, n)).alias("s1"), F.sum(_term(score, everything - n) - _term(score, everything)).alias("o1")))
+    if any(kind != "string" for c, kind in rows.dtypes if c in columns):
+        # Numbers run downwards so that the running total is the side with at least the value.
+        numeric = counts.where("num_value IS NOT NULL").withColumn("_down", -F.col("num_value"))
+        run = F.col("run")
+        moves = running_totals(numeric, ["node", "column", "label"], ["_down"], {"run": n})
+        steps = moves.groupBy(*place, "_down").agg(
+            F.sum("n").alias("n"), F.sum(_term(score, run) - _term(score, run - n)).alias("inside"),
+            F.sum(_term(score, everything - run) - _term(score, everything - run + n)).alias("outside"))
+        summed = running_totals(steps, ["node", "column"], ["_down"], {"s0": n, "s1": F.col("inside"), "o1": F.col("outside")})
+        parts.append(summed.select(*place, "s0", "s1", "o1"))
+    return reduce(DataFrame.unionByName, parts).join(whole, "node").withColumn("o1", F.col("o1") + F.col("w1"))
+
+
+def _moment_sides(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The same of a numeric label: count, sum and sum of squares ``s0, s1, s2`` inside and ``w0, w1, w2`` of the whole node."""
+    mean = rows.agg(F.sum(F.col("label") * F.col("n")) / F.sum("n")).first()[0] or 0.0  # values are measured from it
+    away = F.col("label").cast("double") - mean
+    names = ["0", "1", "2"]
+    tally = [F.sum(v) for v in (F.col("n"), F.col("n") * away, F.col("n") * away * away)]
+    place = ["node", "column", "num_value", "str_value"]
+    values = _values(rows, columns).groupBy(*place).agg(*[t.alias(f"y{k}") for t, k in zip(tally, names)])
+    whole = rows.groupBy("node").agg(*[t.alias(f"w{k}") for t, k in zip(tally, names)])
+    texts = values.where("str_value IS NOT NULL").select(*place, *[F.col(f"y{k}").alias(f"s{k}") for k in names])
+    numeric = values.where("num_value IS NOT NULL").withColumn("_down", -F.col("num_value"))
+    summed = running_totals(numeric, ["node", "column"], ["_down"], {f"s{k}": F.col(f"y{k}") for k in names})
+    return texts.unionByName(summed.select(*place, *[f"s{k}" for k in names])).join(whole, "node")
+
+
+def best_splits(rows: DataFrame, columns: list[str], score: Score = entropy) -> DataFrame:
     """``node, column, num_value, str_value, gain`` of the best split of every node with a gain.
 
-    Label counts per (node, column, value) are combined before the shuffle; the side of a numeric
-    split is a running total over the values, taken across partitions. A numeric label (``variance``) has count, sum
-    and sum of squares instead of label counts.
+    Counts per (node, column, value, label) are combined before the shuffle; the side of a numeric
+    split is a running total over the values, taken across partitions. Neither the plan nor the driver grows with the
+    labels. A missing label is a label; a row whose value is missing is outside. A numeric label (``variance``) has
+    moments instead of counts.
     """
-    types = dict(rows.dtypes)
-    text = [c for c in columns if types[c] == "string"]
-    cells = F.array(*[F.struct(F.lit(c).alias("column"),
-                               (F.lit(None) if c in text else F.col(c)).cast("double").alias("num_value"),
-                               (F.col(c) if c in text else F.lit(None)).cast("string").alias("str_value")) for c in columns])
+    s0, w0 = F.col("s0"), F.col("w0")
     if score is variance:
-        away = F.col("label").cast("double") - labels[0]
-        names, size = ["n0", "y1", "y2"], lambda counts: counts[0].cast("double")
-        tally = [F.sum(v).alias(name) for name, v in zip(names, (F.col("n"), F.col("n") * away, F.col("n") * away * away))]
+        sides = _moment_sides(rows, columns)
+        inside, everything = ([F.col(f"{side}{k}") for k in range(3)] for side in "sw")
+        scores = [score(m) for m in (everything, inside, [w - s for w, s in zip(everything, inside)])]
+        # Sums of squares leave a rest of rounding where nothing varies.
+        least = F.lit(1e-10) * everything[2] / everything[0]
     else:
-        names, size = [f"c{i}" for i in range(len(labels))], _total
-        tally = [F.sum(F.when(F.col("label").eqNullSafe(F.lit(label)), F.col("n")).otherwise(0)).alias(name) for label, name in zip(labels, names)]
-    values = (rows.select("node", "label", "n", F.inline(cells))
-              .where("num_value IS NOT NULL OR str_value IS NOT NULL")
-              .groupBy("node", "column", "num_value", "str_value").agg(*tally))
-    whole = rows.groupBy("node").agg(*[t.alias(f"w_{n}") for t, n in zip(tally, names)])
-    # Numbers run downwards so that the running total is the side with at least the value.
-    parts = []
-    if text:
-        parts.append(values.where("str_value IS NOT NULL").select("node", "column", "num_value", "str_value", *[F.col(n).alias(f"s_{n}") for n in names]))
-    if len(text) < len(columns):
-        numeric = values.where("num_value IS NOT NULL").withColumn("_down", -F.col("num_value"))
-        summed = running_totals(numeric, ["node", "column"], ["_down"], {f"s_{n}": F.col(n) for n in names})
-        parts.append(summed.select("node", "column", "num_value", "str_value", *[f"s_{n}" for n in names]))
-    sides = reduce(DataFrame.unionByName, parts).join(whole, "node")
-    inside, everything = [F.col(f"s_{n}") for n in names], [F.col(f"w_{n}") for n in names]
-    outside = [w - s for w, s in zip(everything, inside)]
-    share = size(inside) / size(everything)
-    # Sums of squares leave a rest of rounding where nothing varies.
-    least = F.lit(1e-10) * everything[2] / everything[0] if score is variance else F.lit(0.0)
-    gains = (sides.where((size(inside) > 0) & (size(outside) > 0))
-             .select("node", "column", "num_value", "str_value",
-                     F.round(score(everything) - share * score(inside) - (1 - share) * score(outside), 12).alias("gain"), least.alias("least"))
+        sides, least = _label_sides(rows, columns, score), F.lit(0.0)
+        scores = [score(w0, F.col("w1")), score(s0, F.col("s1")), score(w0 - s0, F.col("o1"))]
+    share = s0.cast("double") / w0
+    gain = F.round(scores[0] - share * scores[1] - (1 - share) * scores[2], 12)
+    gains = (sides.where((s0 > 0) & (s0 < w0)).select("node", "column", "num_value", "str_value", gain.alias("gain"), least.alias("least"))
              .where("gain > least"))
     first = F.min(F.struct((-F.col("gain")).alias("g"), "column", "num_value", "str_value")).alias("best")
     return gains.groupBy("node").agg(first).select(
@@ -147,11 +171,11 @@ def build_tree(rows: DataFrame, columns: list[str], label: str = "label", score:
     """
     spark = rows.sparkSession
     active = cut(condensed(rows, columns, label), "tree")
-    labels, types = _labels(active, score), dict(active.dtypes)
+    types = dict(active.dtypes)
     splits, leaves = [], []
     depth = 0
     while True:
-        found = cut(best_splits(active, columns, labels, score), "splits") if max_depth is None or depth < max_depth else None
+        found = cut(best_splits(active, columns, score), "splits") if max_depth is None or depth < max_depth else None
         if found is None or found.isEmpty():
             leaves.append(active.groupBy("node", "label").agg(F.sum("n").alias("n")))
             break
@@ -162,7 +186,7 @@ def build_tree(rows: DataFrame, columns: list[str], label: str = "label", score:
         active = cut(active.join(found, "node").select(F.concat("node", branch).alias("node"), *columns, "label", "n"), "tree")
         depth += 1
     empty = spark.createDataFrame([], "node STRING, column STRING, num_value DOUBLE, str_value STRING, gain DOUBLE")
-    return Tree(cut(reduce(DataFrame.unionByName, splits, empty), "splits"), cut(reduce(DataFrame.unionByName, leaves), "leaves"))
+    return Tree(cut(reduce(DataFrame.unionByName, splits, empty), "splits"), cut(reduce(DataFrame.unionByName, leaves), "leaves"), score)
 
 
 def _depth(tree: Tree) -> int:
@@ -207,7 +231,7 @@ def classify_missing(rows: DataFrame, tree: Tree, columns: list[str], key: str =
 
 
 def prune(tree: Tree, min_gain: float) -> Tree:
-    """Merge pairs of leaves whose entropy gain is below ``min_gain``, from the deepest level up."""
+    """Merge pairs of leaves whose gain, by the score the tree was grown with, is below ``min_gain``, from the deepest level up."""
     splits, leaves = tree.splits, tree.leaves
     for level in range(_depth(tree), 0, -1):
         parent = F.expr("left(node, length(node) - 1)")
@@ -217,9 +241,13 @@ def prune(tree: Tree, min_gain: float) -> Tree:
         below = below.join(pair.select("parent"), "parent")
 
         def mixed(by):
+            if tree.score is variance:
+                n, y = F.col("n"), F.col("label").cast("double")
+                return below.groupBy(*by).agg(F.sum(n).alias("n"), F.sum(n * y).alias("y"), F.sum(n * y * y).alias("yy")).select(
+                    *by, variance([F.col("n"), F.col("y"), F.col("yy")]).alias("h"))
             sums = below.groupBy(*by, "label").agg(F.sum("n").alias("n")).groupBy(*by).agg(
-                F.sum("n").alias("all"), F.sum(F.col("n") * F.log2("n")).alias("logs"))
-            return sums.select(*by, (F.log2("all") - F.col("logs") / F.col("all")).alias("h"))
+                F.sum("n").alias("all"), F.sum(_term(tree.score, F.col("n"))).alias("terms"))
+            return sums.select(*by, tree.score(F.col("all"), F.col("terms")).alias("h"))
 
         halves = mixed(["parent", "node"]).groupBy("parent").agg((F.sum("h") / 2).alias("halves"))
         gone = cut(mixed(["parent"]).join(halves, "parent").where(F.col("h") - F.col("halves") < min_gain).select("parent"), "pruned")
@@ -228,4 +256,4 @@ def prune(tree: Tree, min_gain: float) -> Tree:
         kept = leaves.withColumn("parent", parent).join(gone, "parent", "left_anti").select("node", "label", "n")
         leaves = cut(kept.unionByName(merged), "leaves")
         splits = cut(splits.join(gone.withColumnRenamed("parent", "node"), "node", "left_anti"), "splits")
-    return Tree(splits, leaves)
+    return Tree(splits, leaves, tree.score)

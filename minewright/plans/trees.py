@@ -73,7 +73,7 @@ SELECT 'r' AS node, "column", num_value, str_value, round(gain, 6) AS gain FROM
 ORDER BY g.gain DESC, "column", num_value, str_value LIMIT 1""")
 def best_split(t: Tables):
     rows = dtree.condensed(tree_rows(t), COLUMNS, "label")
-    return dtree.best_splits(rows, COLUMNS, dtree._labels(rows)).withColumn("gain", F.round("gain", 6))
+    return dtree.best_splits(rows, COLUMNS).withColumn("gain", F.round("gain", 6))
 
 
 LINE_COLUMNS = ["l_returnflag", "l_linestatus", "l_quantity", "discount"]
@@ -98,13 +98,51 @@ def _flat(tree):
     return splits.unionByName(leaves)
 
 
-@plan("build_tree")
-def build_tree(t: Tables):
-    return _flat(line_tree(t))
-
-
 LINE_LABEL = """CASE WHEN l_quantity >= 30 AND l_returnflag = 'R' THEN 'hot' WHEN l_quantity >= 30 THEN 'big'
   WHEN round(l_discount * 100)::BIGINT >= 5 THEN 'deal' ELSE 'plain' END"""
+LABELS = ["hot", "big", "deal", "plain"]
+NUMBERS = ("l_quantity", "discount")
+HIT = "CASE \"column\" " + " ".join(f"WHEN '{c}' THEN {c} {'>= num_value' if c in NUMBERS else '= str_value'}" for c in LINE_COLUMNS) + " END"
+LEVELS = 6
+
+
+def tree_oracle() -> str:
+    """``splits`` and ``leaves`` of the tree over the line items, spelled out for more levels than it has."""
+    inside, whole = [f"s.c{k}" for k in range(4)], [f"w.c{k}" for k in range(4)]
+    outside = [f"({w} - {s})" for w, s in zip(whole, inside)]
+    n_s, n_w = (" + ".join(side) for side in (inside, whole))
+    gain = f"{_h(whole)} - ({n_s}) / ({n_w}) * {_h(inside)} - (1 - ({n_s}) / ({n_w})) * {_h(outside)}"
+    values = " UNION ALL ".join(
+        f"""SELECT node, '{c}' AS "column", {c if c in NUMBERS else 'NULL'}::DOUBLE AS num_value, {'NULL' if c in NUMBERS else c}::VARCHAR AS str_value, c0, c1, c2, c3 FROM t@"""
+        for c in LINE_COLUMNS)
+    sums = ", ".join(f"sum(c{k})::DOUBLE AS c{k}" for k in range(4))
+    down = ", ".join(f"sum(c{k}) OVER w AS c{k}" for k in range(4))
+    counts = ", ".join(f"count_if(label = '{name}')::DOUBLE AS c{k}" for k, name in enumerate(LABELS))
+    parts = [f"""t0 AS MATERIALIZED (SELECT 'r' AS node, l_returnflag, l_linestatus, l_quantity, discount, {counts} FROM (
+  SELECT l_returnflag, l_linestatus, l_quantity::DOUBLE AS l_quantity, round(l_discount * 100)::DOUBLE AS discount, {LINE_LABEL} AS label FROM lineitem) GROUP BY ALL)"""]
+    for k in range(LEVELS):
+        parts.append(f"""v{k} AS (SELECT node, "column", num_value, str_value, {sums} FROM ({values.replace('@', str(k))}) GROUP BY ALL),
+side{k} AS (SELECT * FROM v{k} WHERE str_value IS NOT NULL UNION ALL
+  SELECT node, "column", num_value, str_value, {down} FROM v{k} WHERE num_value IS NOT NULL WINDOW w AS (PARTITION BY node, "column" ORDER BY num_value DESC)),
+split{k} AS MATERIALIZED (SELECT node, "column", num_value, str_value FROM (
+  SELECT s.node, "column", num_value, str_value, round({gain}, 12) AS gain
+  FROM side{k} s JOIN (SELECT node, {sums} FROM t{k} GROUP BY node) w ON s.node = w.node WHERE {n_s} > 0 AND {n_s} < {n_w})
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, "column", num_value, str_value) = 1),
+leaf{k} AS (SELECT * FROM t{k} WHERE node NOT IN (SELECT node FROM split{k})),
+t{k + 1} AS MATERIALIZED (SELECT node || CASE WHEN {HIT} THEN 't' ELSE 'f' END AS node, l_returnflag, l_linestatus, l_quantity, discount, c0, c1, c2, c3
+  FROM t{k} JOIN split{k} USING (node))""")
+    ends = " UNION ALL ".join([*(f"SELECT * FROM leaf{k}" for k in range(LEVELS)), f"SELECT * FROM t{LEVELS}"])
+    parts.append("splits AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM split{k}" for k in range(LEVELS)) + ")")
+    parts.append("leaves AS MATERIALIZED (SELECT node, label, sum(n)::BIGINT AS n FROM (" + " UNION ALL ".join(
+        f"SELECT node, '{name}' AS label, c{k} AS n FROM ({ends})" for k, name in enumerate(LABELS)) + ") WHERE n > 0 GROUP BY ALL)")
+    return ",\n".join(parts)
+
+
+@plan("build_tree", f"""WITH {tree_oracle()}
+SELECT node, "column", num_value, str_value, NULL::VARCHAR AS label, NULL::BIGINT AS n FROM splits
+UNION ALL SELECT node, NULL, NULL, NULL, label, n FROM leaves""")
+def build_tree(t: Tables):
+    return _flat(line_tree(t))
 
 
 @plan("build_gini_tree", f"SELECT {LINE_LABEL} AS guess, count(*) AS n FROM lineitem GROUP BY ALL")
@@ -136,7 +174,19 @@ def observations(t: Tables):
             .withColumn("id", F.concat_ws("-", "l_suppkey", "l_returnflag", "l_linestatus")))
 
 
-@plan("tree_classify")
+OBSERVED = """asked AS (
+  SELECT l_suppkey || '-' || l_returnflag || '-' || l_linestatus AS id, l_returnflag, l_linestatus, avg(l_quantity) AS l_quantity,
+    round(avg(l_discount) * 100)::BIGINT AS discount FROM lineitem GROUP BY l_suppkey, l_returnflag, l_linestatus)"""
+
+
+def descent() -> str:
+    """``d{LEVELS}``: the leaf of every question."""
+    return ",\n".join(["d0 AS (SELECT *, 'r' AS node FROM asked)", *(f"""d{k + 1} AS (SELECT id, l_returnflag, l_linestatus, l_quantity, discount,
+  d.node || CASE WHEN "column" IS NULL THEN '' WHEN {HIT} THEN 't' ELSE 'f' END AS node FROM d{k} d LEFT JOIN splits s ON s.node = d.node)"""
+                                                                            for k in range(LEVELS))])
+
+
+@plan("tree_classify", f"WITH {tree_oracle()}, {OBSERVED}, {descent()} SELECT id, label, n FROM d{LEVELS} JOIN leaves USING (node)")
 def tree_classify(t: Tables):
     return dtree.classify(observations(t), line_tree(t), LINE_COLUMNS)
 
