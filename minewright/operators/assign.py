@@ -41,11 +41,13 @@ def schedule_cost(rows: DataFrame) -> DataFrame:
 
 
 def random_solutions(spark, domain: list[int], candidates: int = 10000, seed: int = 17) -> DataFrame:
-    """``candidates`` random choice vectors below the domain sizes; hashed, so any partitioning gives the same."""
+    """``candidates`` random choice vectors below the domain sizes; drawn by a hash, so any partitioning gives the same."""
     ids = spark.range(candidates).withColumnRenamed("id", "sol_id")
-    return ids.select("sol_id", F.array(*[
-        F.pmod(F.xxhash64("sol_id", F.lit(seed), F.lit(place)), F.lit(size)).cast("int")
-        for place, size in enumerate(domain)]).alias("choices"))
+
+    def draw(place: int) -> Column:
+        return F.conv(F.substring(F.md5(F.concat_ws("-", "sol_id", F.lit(str(seed)), F.lit(str(place)))), 1, 7), 16, 10).cast("long")
+
+    return ids.select("sol_id", F.array(*[F.pmod(draw(place), F.lit(size)).cast("int") for place, size in enumerate(domain)]).alias("choices"))
 
 
 def cheapest(costs: DataFrame) -> DataFrame:

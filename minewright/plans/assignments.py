@@ -76,7 +76,16 @@ def schedule_rows(t: Tables):
     return _chosen(t)
 
 
-@plan("random_search")
+DRAWN = FLIGHTS.replace("""SELECT c_custkey AS sol_id, seat, origin, direction, (c_custkey * (7 - 4 * direction) + origin * (3 - 2 * direction)) % size AS idx
+  FROM customer CROSS JOIN routes JOIN seats USING (origin)""", """SELECT sol_id, seat, origin, direction,
+    ('0x' || substr(md5(sol_id || '-17-' || (row_number() OVER (PARTITION BY sol_id ORDER BY origin, direction) - 1)), 1, 7))::BIGINT % size AS idx
+  FROM (SELECT unnest(range(10000)) AS sol_id) CROSS JOIN routes JOIN seats USING (origin)""")
+
+
+@plan("random_search", f"""WITH {DRAWN}, costs AS (
+  SELECT sol_id, CAST(sum(price) + sum(CASE WHEN direction = 0 THEN latest - arr_min ELSE dep_min - earliest END)
+    + CASE WHEN any_value(latest) > any_value(earliest) THEN 50 ELSE 0 END AS BIGINT) AS cost FROM rows JOIN edges USING (sol_id) GROUP BY sol_id)
+SELECT sol_id, cost FROM costs ORDER BY cost, sol_id LIMIT 1""")
 def random_search(t: Tables):
     found = flights(t)
     sizes = found.groupBy("origin", "direction").agg(F.count("*").alias("size")).orderBy("origin", "direction").collect()
@@ -98,13 +107,28 @@ def room_candidates(t: Tables):
                   for i in range(PEOPLE)]).alias("wanted"))
 
 
-@plan("room_cost")
+def picked(people: int = PEOPLE, rooms: int = ROOMS) -> str:
+    """``p{people}``: the slots left and the rooms taken after every person, one pick after the other."""
+    slots = [r for r in range(rooms) for _ in range(2)]
+    parts = [f"p0 AS (SELECT o_orderkey AS sol_id, o_custkey AS c, {slots} AS rest, []::INT[] AS taken FROM orders)"]
+    for i in range(people):
+        choice = f"(sol_id * {i + 3} + c) % {people - i}"
+        parts.append(f"""p{i + 1} AS (SELECT sol_id, c, rest[:{choice}] || rest[{choice} + 2:] AS rest, list_append(taken, rest[{choice} + 1]) AS taken FROM p{i})""")
+    return ",\n".join(parts)
+
+
+ROOM_ROWS = f"""{picked()}, room_rows AS (
+  SELECT sol_id, c, CAST(generate_subscripts(taken, 1) - 1 AS INT) AS person, CAST(unnest(taken) AS INT) AS room FROM p{PEOPLE})"""
+
+
+@plan("room_cost", f"""WITH {ROOM_ROWS} SELECT sol_id, CAST(sum(CASE WHEN room = (c + person) % {ROOMS} THEN 0
+  WHEN room = (c * 2 + person + 1) % {ROOMS} THEN 1 ELSE 3 END) AS INT) AS cost FROM room_rows GROUP BY sol_id""")
 def room_cost(t: Tables):
     rooms = assign.assigned_rooms(F.col("choices"), ROOMS)
     return room_candidates(t).select("sol_id", assign.room_cost(rooms, F.col("wanted")).alias("cost"))
 
 
-@plan("room_rows")
+@plan("room_rows", f"WITH {ROOM_ROWS} SELECT sol_id, person, room FROM room_rows")
 def room_rows(t: Tables):
     rooms = assign.assigned_rooms(F.col("choices"), ROOMS)
     return room_candidates(t).select("sol_id", F.posexplode(rooms).alias("person", "room"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from minewright.operators import factor, vectorize
 from minewright.plans.bindings import entries
-from minewright.plans.texts import ARTICLES, article_counts, tfidf_weights
+from minewright.plans.texts import ARTICLES, TFIDF, article_counts, tfidf_weights
 from minewright.registry import Tables, plan
 from minewright.session import cut
 
@@ -142,11 +142,13 @@ def article_topics(t: Tables):
     return factor.article_topics(w, h, titles(t)).withColumn("weight", F.round("weight", 4))
 
 
-@plan("tfidf_topics")
+@plan("tfidf_topics", f"""WITH {TFIDF}, {rounds_oracle('SELECT doc_id AS i, word AS j, weight AS v FROM tfidf', TOPICS, 50)}
+SELECT CAST(a AS INT) AS factor, CAST(rank AS INT) AS rank, j, round(h, 4) AS weight FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY h DESC, j DESC) AS rank FROM h50) WHERE rank <= 20""")
 def tfidf_topics(t: Tables):
     cells = tfidf_weights(t).select(F.col("doc_id").alias("i"), F.col("word").alias("j"), F.col("weight").alias("v"))
     _, h = factor.factorize(cells, TOPICS)
-    return factor.top_keys(h, "j", "h", 20)
+    return factor.top_keys(h, "j", "h", 20).withColumn("weight", F.round("weight", 4))
 
 
 @plan("volume_factors", f"""WITH {VOLUME_ROUNDS}

@@ -162,8 +162,7 @@ def tfidf_weights(t: Tables):
     return vectorize.tfidf(counts, articles.select("title"))
 
 
-@plan("tfidf", rf"""
-WITH {ENTRIES}, articles AS (
+TFIDF = rf"""{ENTRIES}, articles AS (
   SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY title ORDER BY doc_id) = 1),
 counts AS (
   SELECT doc_id, lower(w) AS word, count(*) AS n
@@ -172,9 +171,12 @@ counts AS (
 n AS (SELECT count(*) AS docs FROM articles),
 vocabulary AS (
   SELECT word, ln((1 + any_value(docs)) / (1 + count(*))) + 1 AS idf FROM counts, n
-  GROUP BY word HAVING count(*) <= 0.95 * any_value(docs) ORDER BY sum(n) DESC, word LIMIT 320)
-SELECT doc_id, word, round(n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc_id)), 6) AS weight
-FROM counts JOIN vocabulary USING (word)""")
+  GROUP BY word HAVING count(*) <= 0.95 * any_value(docs) ORDER BY sum(n) DESC, word LIMIT 320),
+tfidf AS (
+  SELECT doc_id, word, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc_id)) AS weight FROM counts JOIN vocabulary USING (word))"""
+
+
+@plan("tfidf", f"WITH {TFIDF} SELECT doc_id, word, round(weight, 6) AS weight FROM tfidf")
 def tfidf(t: Tables):
     return tfidf_weights(t).withColumn("weight", F.round("weight", 6))
 
