@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from minewright.functions import text
+from minewright.operators.ranks import numbered
 from minewright.session import cut
 
 
@@ -27,18 +28,25 @@ def vocabulary_band(counts: DataFrame, listed: DataFrame, low: float = 0.1, high
             .where((F.col("frac") > low) & (F.col("frac") < high)))
 
 
-def matrix_rows(counts: DataFrame, vocabulary: DataFrame, feeds: DataFrame) -> DataFrame:
-    """One zero-filled count array per feed, in word order.
+def word_blocks(vocabulary: DataFrame, block: int = 1000) -> DataFrame:
+    """``word, block, place``: the words in order, ``block`` of them to a column block; numbered without one task for all."""
+    at = numbered(vocabulary.select("word").distinct(), [], ["word"], "_at")
+    return at.select("word", F.floor(F.col("_at") / block).cast("int").alias("block"), F.pmod("_at", F.lit(block)).cast("int").alias("place"))
 
-    A band word reaches more than a tenth of the feeds, so the vocabulary is at most ten
-    times the mean number of words per feed: it fits one row, and so does a feed's map.
+
+def matrix_blocks(counts: DataFrame, words: DataFrame, feeds: DataFrame) -> DataFrame:
+    """``feed, block, counts``: one zero-filled count array per feed and column block of ``words(word, block, place)``.
+
+    Nothing holds more words than a block: neither a row nor the driver. Words without a block are left out, a feed without
+    words has zeros. An empty vocabulary or no feeds give an empty table.
     """
-    ordered = vocabulary.agg(F.array_sort(F.collect_list("word"))).scalar()
-    kept = (counts.join(vocabulary.select("word"), "word")
-            .groupBy("feed").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("cells")))
-    return (feeds.select("feed").distinct().join(kept, "feed", "left")
-            .withColumn("words", ordered)
-            .select("feed", F.transform("words", lambda w: F.coalesce(F.try_element_at("cells", w), F.lit(0))).alias("counts")))
+    sizes = words.groupBy("block").agg(F.count("*").cast("int").alias("size"))
+    cells = (counts.join(words, "word").groupBy("feed", "block")
+             .agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("cells")))
+    blocks = sizes.agg(F.array_sort(F.collect_list(F.struct("block", "size")))).scalar()  # two numbers a block
+    every = feeds.select("feed").distinct().select("feed", F.explode(blocks).alias("b")).select("feed", "b.block", "b.size")
+    return every.join(cells, ["feed", "block"], "left").select("feed", "block", F.transform(
+        F.sequence(F.lit(0), F.col("size") - 1), lambda at: F.coalesce(F.try_element_at("cells", at), F.lit(0))).alias("counts"))
 
 
 def first_by(rows: DataFrame, key: str, seq: str) -> DataFrame:

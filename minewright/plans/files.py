@@ -9,7 +9,7 @@ from minewright.plans.bindings import ENTRIES, entries
 from minewright.plans.factors import VOLUMES, volumes
 from minewright.plans.texts import FEED_COUNTS
 from minewright.registry import Tables, plan
-from minewright.session import scratch_path
+from minewright.session import cut, scratch_path
 from minewright.sources import files
 
 
@@ -38,9 +38,8 @@ def read_matrix(t: Tables):
     found = entries(t)
     counts = vectorize.feed_word_counts(found)
     band = vectorize.vocabulary_band(counts, found)
-    # The band vocabulary is bounded by the words per feed: it names the columns of the file.
-    words = sorted(r["word"] for r in band.select("word").collect())
-    files.write_matrix(vectorize.matrix_rows(counts, band, found), words, folder)
+    words = cut(vectorize.word_blocks(band, 100), "words")
+    files.write_matrix(vectorize.matrix_blocks(counts, words, found), words, folder)
     return files.read_matrix(t.spark, folder)
 
 
@@ -82,14 +81,11 @@ def load_schedule(t: Tables):
 
 
 @plan("load_match", """
-SELECT match, count(*) AS n, round(sum(l_quantity), 2) AS quantity, round(sum(d), 2) AS discount
-FROM (SELECT (l_returnflag = 'R')::INT AS match, l_quantity, round(l_discount * 100) AS d FROM lineitem) GROUP BY match""")
+SELECT (l_returnflag = 'R')::INT AS match, l_quantity::DOUBLE AS quantity, round(l_discount * 100)::DOUBLE AS discount FROM lineitem""")
 def load_match(t: Tables):
     folder = scratch_path(t.spark, "match")
     t.lineitem.select("l_quantity", F.round(F.col("l_discount") * 100), (F.col("l_returnflag") == "R").cast("int")).write.csv(folder, compression="gzip")
-    found = files.load_match(t.spark, folder, 3, all_num=True)
-    return found.groupBy("match").agg(F.count("*").alias("n"), F.round(F.sum(F.get("data", F.lit(0))), 2).alias("quantity"),
-                                      F.round(F.sum(F.get("data", F.lit(1))), 2).alias("discount"))
+    return files.load_match(t.spark, folder, 3, all_num=True).select("match", F.get("data", F.lit(0)).alias("quantity"), F.get("data", F.lit(1)).alias("discount"))
 
 
 @plan("load_volumes", f"WITH {VOLUMES} SELECT ticker, date, volume FROM volumes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from minewright.functions import kernels, text
-from minewright.operators import learners, margin
+from minewright.operators import kernel_means, learners, margin
 from minewright.plans.neighbourhoods import questions
 from minewright.plans.texts import INTERESTS, interests
 from minewright.registry import Tables, plan
@@ -122,6 +122,49 @@ def rbf_classify(t: Tables):
     return margin.rbf_classify(points, rows, margin.rbf_offset(rows, GAMMA, 3), GAMMA, 3)
 
 
+FEATURES = 256
+
+
+def scaled_vectors(t: Tables):
+    """The same line items with every column on 0..1, where no kernel sum vanishes."""
+    return margin.minmax_scale(line_vectors(t))
+
+
+def scaled_questions(t: Tables):
+    """Mean scaled line item of every supplier."""
+    lines = t.lineitem.select("l_suppkey", F.array("l_quantity", F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)).alias("data"))
+    data = margin.minmax_scale(lines)
+    return data.groupBy(F.col("l_suppkey").alias("id")).agg(F.array(*[F.avg(F.get("data", F.lit(i))) for i in range(3)]).alias("point"))
+
+
+def means_oracle() -> str:
+    """The features and class means spelled out: the frequencies and phases are numbers of the query."""
+    frequencies, phases = kernel_means.waves(3, FEATURES, GAMMA)
+    params = ", ".join(f"({k}, {w[0]!r}::DOUBLE, {w[1]!r}::DOUBLE, {w[2]!r}::DOUBLE, {b!r}::DOUBLE)" for k, (w, b) in enumerate(zip(frequencies.tolist(), phases.tolist())))
+    feature = f"sqrt(2.0::DOUBLE / {FEATURES}) * cos(w0 * d0 + w1 * d1 + w2 * d2 + b)"
+    scaled = ", ".join(f"(x{i} - (SELECT min(x{i}) FROM raw)) / (SELECT max(x{i}) - min(x{i}) FROM raw) AS d{i}" for i in range(3))
+    return f"""waves(k, w0, w1, w2, b) AS (VALUES {params}),
+raw AS MATERIALIZED (SELECT l_suppkey, l_quantity::DOUBLE AS x0, round(l_discount * 100)::DOUBLE AS x1, round(l_tax * 100)::DOUBLE AS x2, (l_returnflag = 'R')::INT AS match FROM lineitem),
+unit AS MATERIALIZED (SELECT l_suppkey, match, {scaled} FROM raw),
+kinds AS MATERIALIZED (SELECT d0, d1, d2, match, count(*) AS n FROM unit GROUP BY ALL),
+mu AS MATERIALIZED (SELECT match, k, sum(n * {feature}) / sum(n) AS m FROM kinds, waves GROUP BY match, k),
+shift AS (SELECT sum(CASE WHEN match = 1 THEN m * m ELSE -m * m END) AS off FROM mu),
+asked AS MATERIALIZED (SELECT l_suppkey AS id, avg(d0) AS d0, avg(d1) AS d1, avg(d2) AS d2 FROM unit GROUP BY l_suppkey),
+margins AS (SELECT id, sum({feature} * CASE WHEN match = 0 THEN m ELSE -m END) + any_value(off) AS margin FROM asked, waves JOIN mu USING (k), shift GROUP BY id)"""
+
+
+@plan("rbf_mean_offset", f"WITH {means_oracle()} SELECT round(off, 6) AS mean_offset FROM shift")
+def rbf_mean_offset(t: Tables):
+    means = kernel_means.class_means(scaled_vectors(t), GAMMA, FEATURES)
+    return t.spark.range(1).select(F.round(F.lit(kernel_means.offset(means)), 6).alias("mean_offset"))
+
+
+@plan("rbf_mean_classify", f"WITH {means_oracle()} SELECT id, round(margin, 6) AS margin, CASE WHEN margin > 0 THEN 0 ELSE 1 END AS match FROM margins")
+def rbf_mean_classify(t: Tables):
+    means = kernel_means.class_means(scaled_vectors(t), GAMMA, FEATURES)
+    return kernel_means.classify(scaled_questions(t), means, GAMMA, FEATURES).withColumn("margin", F.round("margin", 6))
+
+
 @plan("rff_svm")
 def rff_svm(t: Tables):
     """Scored on the held-out line items of a pattern no single plane can separate."""

@@ -8,6 +8,7 @@ from minewright.functions import text
 from minewright.operators import vectorize
 from minewright.plans.bindings import ENTRIES, entries
 from minewright.registry import Tables, plan
+from minewright.session import cut
 
 
 def _joined(df, key, words):
@@ -116,15 +117,16 @@ def vocab_band(t: Tables):
 
 
 @plan("doc_term_matrix", f"""
-WITH {FEED_COUNTS}
-SELECT feed, string_agg(coalesce(n, 0), chr(9) ORDER BY word) AS line
-FROM (SELECT DISTINCT feed FROM entries) CROSS JOIN (SELECT word FROM band) LEFT JOIN feed_counts USING (feed, word)
-GROUP BY feed""")
+WITH {FEED_COUNTS}, placed AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS place FROM band)
+SELECT feed, CAST(place // 100 AS INT) AS block, string_agg(coalesce(n, 0), chr(9) ORDER BY word) AS line
+FROM (SELECT DISTINCT feed FROM entries) CROSS JOIN placed LEFT JOIN feed_counts USING (feed, word)
+GROUP BY feed, place // 100""")
 def doc_term_matrix(t: Tables):
+    """The matrix in column blocks of 100 words: no row holds the whole vocabulary."""
     feed_entries = entries(t)
     counts = vectorize.feed_word_counts(feed_entries)
-    band = vectorize.vocabulary_band(counts, feed_entries)
-    return vectorize.matrix_rows(counts, band, feed_entries).select("feed", F.array_join("counts", "\t").alias("line"))
+    words = cut(vectorize.word_blocks(vectorize.vocabulary_band(counts, feed_entries), 100), "words")
+    return vectorize.matrix_blocks(counts, words, feed_entries).select("feed", "block", F.array_join("counts", "\t").alias("line"))
 
 
 ARTICLES = rf"""{ENTRIES}, articles AS (

@@ -19,22 +19,30 @@ def load_ratings(spark: SparkSession, items: str, data: str) -> DataFrame:
     return rated.join(titles, "movie_id").groupBy("person", "item").agg(F.max_by("rating", F.struct("ts", "rating")).alias("rating"))
 
 
-def write_matrix(rows: DataFrame, words: list[str], path: str, corner: str = "Blog") -> None:
-    """Write ``feed, counts`` (in the order of ``words``) as tab-separated lines after a header line."""
-    header = rows.sparkSession.createDataFrame([("\t".join([corner, *words]),)], "value STRING")
-    lines = rows.select(F.concat_ws("\t", "feed", F.array_join("counts", "\t")).alias("value"))
-    header.coalesce(1).union(lines).write.text(path)
+def write_matrix(rows: DataFrame, words: DataFrame, path: str, corner: str = "Blog") -> None:
+    """Write ``feed, block, counts`` as one tab-separated matrix per column block, in a folder ``block=…`` each.
+
+    ``words(word, block, place)`` names the columns: every block has its own header line, so neither a line nor the driver holds
+    more words than a block.
+    """
+    header = words.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w")).select(
+        "block", F.concat_ws("\t", F.lit(corner), F.array_join("w.word", "\t")).alias("value"))
+    lines = rows.select("block", F.concat_ws("\t", "feed", F.array_join("counts", "\t")).alias("value"))
+    header.unionByName(lines).write.partitionBy("block").text(path)
 
 
 def read_matrix(spark: SparkSession, path: str, corner: str = "Blog") -> DataFrame:
-    """``row_name, column, value`` from a tab-separated matrix whose header line starts with ``corner``.
+    """``row_name, column, value`` from tab-separated matrices whose header lines start with ``corner``.
 
-    Lines are split into arrays and turned long at once: thousands of words need no wide row.
+    ``path`` is one matrix or has column blocks in ``block=…`` folders; a line belongs to the header of its folder. Lines are split
+    into arrays and turned long at once: thousands of words need no wide row.
     """
     lines = spark.read.text(path)
+    if "block" not in lines.columns:
+        lines = lines.withColumn("block", F.lit(0))
     is_header = F.col("value").startswith(f"{corner}\t")
-    names = F.split(lines.where(is_header).limit(1).scalar(), "\t")
-    cells = lines.where(~is_header & (F.col("value") != "")).select(F.split("value", "\t").alias("c")).withColumn("names", names)
+    names = lines.where(is_header).groupBy("block").agg(F.split(F.min("value"), "\t").alias("names"))
+    cells = lines.where(~is_header & (F.col("value") != "")).select("block", F.split("value", "\t").alias("c")).join(names, "block")
     long = F.arrays_zip(F.slice("names", 2, F.size("names") - 1).alias("column"), F.slice("c", 2, F.size("c") - 1).alias("value"))
     return cells.select(F.get("c", F.lit(0)).alias("row_name"), F.inline(long)).withColumn("value", F.col("value").cast("double"))
 

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+from minewright.operators import vectorize
 from minewright.sources import files
 
 
@@ -28,3 +29,20 @@ def test_schedule_is_read_in_splits_and_keeps_file_order(spark, tmp_path, monkey
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == sorted(want) and tasks > 10
+
+
+def test_matrix_in_column_blocks(spark, tmp_path):
+    counts = [("f", "b", 2), ("f", "d", 1), ("g", "a", 4), ("g", "e", 5), ("g", "zz", 9), ("h", "zz", 1)]
+    df = spark.createDataFrame(counts, "feed STRING, word STRING, n LONG")
+    words = vectorize.word_blocks(spark.createDataFrame([(w,) for w in "edcba"], "word STRING"), 2)
+    assert sorted((r.word, r.block, r.place) for r in words.collect()) == [("a", 0, 0), ("b", 0, 1), ("c", 1, 0), ("d", 1, 1), ("e", 2, 0)]
+    blocks = vectorize.matrix_blocks(df, words, df)
+    assert max(len(r.counts) for r in blocks.collect()) == 2
+    files.write_matrix(blocks, words, str(tmp_path / "m"))
+    got = {(r.row_name, r.column): r.value for r in files.read_matrix(spark, str(tmp_path / "m")).collect()}
+    known = {(f, w): float(n) for f, w, n in counts}
+    assert got == {(f, w): known.get((f, w), 0.0) for f in "fgh" for w in "abcde"}
+    (tmp_path / "one.txt").write_text("Blog\tx\ty\nf\t1\t2\n\ng\t3\t4\n")
+    plain = {(r.row_name, r.column): r.value for r in files.read_matrix(spark, str(tmp_path / "one.txt")).collect()}
+    assert plain == {("f", "x"): 1.0, ("f", "y"): 2.0, ("g", "x"): 3.0, ("g", "y"): 4.0}
+    assert vectorize.matrix_blocks(df, words.limit(0), df).count() == 0
