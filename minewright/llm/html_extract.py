@@ -231,6 +231,9 @@ class Composer:
              '<div class="comment">', '<ol class="comment-list">', '<div class="discussion">', '<section class="reader-comments">', '<div class="share social">',
              '<div class="tags">', '<dialog>', '<div class="pagination">']
 
+    SAID = ['<section class="comments">', '<div id="comments">', '<div class="comment">', '<ol class="comment-list">', '<section class="reader-comments">',
+            '<div class="discussion">']
+
     def __init__(self, texts: list[str], seed: int = 5):
         self.draw, self.texts = random.Random(seed), [t for t in texts if t.split()] or ["text of a page without words."]
 
@@ -280,15 +283,24 @@ class Composer:
         tags = [t[1:].split()[0].rstrip(">") for t in open_.replace("><", "> <").split(" <") for t in [t if t[0] == "<" else "<" + t]]
         return open_ + self.inside(_NO) + "".join(f"</{t}>" for t in reversed(tags))
 
+    def unmarked(self) -> str:
+        """An element whose name and class say nothing."""
+        letters = "".join(self.draw.choice("abcdefghjkqvwxz") for _ in range(self.draw.randint(2, 5))) + str(self.draw.randint(0, 99))
+        return self.draw.choice(["<div>", "<section>", f'<div class="{letters}">', f'<div id="{letters}">', f'<section class="{letters}">'])
+
     def page(self) -> tuple[list, np.ndarray]:
-        draw = self.draw
-        html = [f"<html><head><title>{_NO}{self.words(2, 9)}</title></head><body>"]
-        html += [self.aside() for _ in range(draw.randint(0, 4))]
-        wrap = draw.choice(["", "", '<div class="wrapper">', '<div id="page"><div class="container">'])
-        open_ = draw.choice(self.CONTENT).format("") if draw.random() < 0.9 else ""
+        draw, fragment = self.draw, self.draw.random() < 0.15
+        html = [] if fragment else [f"<html><head><title>{_NO}{self.words(2, 9)}</title></head><body>"]
+        html += [self.aside() for _ in range(0 if fragment and draw.random() < 0.5 else draw.randint(0, 4))]
+        wrap = draw.choice(["", "", '<div class="wrapper">', '<div id="page"><div class="container">', self.unmarked()])
+        kind = draw.random()
+        open_ = draw.choice(self.CONTENT).format("") if kind < 0.7 else self.unmarked() if kind < 0.9 else ""
         tag = open_[1:].split()[0].rstrip(">") if open_ else ""
-        html += [wrap, open_, self.content(), f"</{tag}>" if tag else "", "</div>" * wrap.count("<div")]
-        html += [self.aside() for _ in range(draw.randint(0, 5))]
+        said = draw.choice(self.SAID) if tag and draw.random() < 0.2 else ""  # readers' comments inside the article
+        comments = f"{said}{self.inside(_NO)}</{said[1:].split()[0]}>" if said else ""
+        closed = "".join(f"</{t[1:].split()[0].rstrip('>')}>" for t in reversed(wrap.replace("><", "> <").split(" <")) for t in [t if t[0] == "<" else "<" + t]) if wrap else ""
+        html += [wrap, open_, self.content(), comments, f"</{tag}>" if tag else "", closed]
+        html += [self.aside() for _ in range(0 if fragment and draw.random() < 0.5 else draw.randint(0, 5))]
         found = leaves("".join(html) + "</body></html>")
         labels = np.array([b[0][0] == _YES for b in found])
         return [(b[0].replace(_YES, "").replace(_NO, "") or "x", b[1], b[2]) for b in found], labels
@@ -309,13 +321,24 @@ def weak_labels(page: list) -> np.ndarray | None:
     return labels if labels.any() else None
 
 
-def fit(pages: DataFrame, fit_pages: int = FIT_PAGES, made: int = 400) -> Labeller:
-    """A labeller from at most ``fit_pages`` pages (hashed ids first), weakly labelled, and ``made`` pages composed of their texts."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).where("length(html) < 100000")
-    chosen = rows.select("page_id").distinct().orderBy(F.md5(F.col("page_id").cast("string"))).limit(fit_pages)  # ids alone go to the driver
-    html = [r["html"] for r in rows.join(F.broadcast(chosen), "page_id", "left_semi").limit(fit_pages).collect()]
+#: Longer pages are not trained on (every page is extracted), and so many block texts are the stock of the composed pages.
+FIT_CHARS, FIT_BLOCKS = 100_000, 20_000
+
+
+def fit(pages: DataFrame, fit_pages: int = FIT_PAGES, made: int = 400, fit_chars: int = FIT_CHARS, fit_blocks: int = FIT_BLOCKS) -> Labeller:
+    """A labeller from a bounded sample: at most ``fit_pages`` pages, weakly labelled, and ``made`` pages composed of their texts.
+
+    The sample are the rows of least (hashed id, id, html) among those with fewer than ``fit_chars`` characters, whatever files
+    they lie in; the composed pages draw from the first ``fit_blocks`` block texts. Null ids and null or empty pages are
+    not trained on; of repeated ids each row counts. Without pages the labeller learns from the composed ones alone.
+    """
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
+    rows = rows.where("page_id IS NOT NULL").where(F.length("html") < fit_chars)
+    order = [F.md5(F.col("page_id").cast("string")), "page_id"]
+    chosen = rows.select("page_id").distinct().orderBy(*order).limit(fit_pages)  # ids alone are compared first
+    html = [r["html"] for r in rows.join(F.broadcast(chosen), "page_id", "left_semi").orderBy(*order, "html").limit(fit_pages).collect()]
     real = [page for page in map(leaves, html) if page]
-    composer = Composer([b[0] for page in real for b in page][:20_000])
+    composer = Composer([b[0] for page in real for b in page][:fit_blocks])
     examples = [(page, labels) for page in real if (labels := weak_labels(page)) is not None]
     return train(examples + [composer.page() for _ in range(made)])
 

@@ -138,6 +138,23 @@ def test_main_text_around_and_in_other_elements(spark):
                    3: "The name\nThen its own text here.\nSeen without scripts.\nThe last one."}
 
 
+def test_layouts_that_say_little(spark):
+    """Unmarked elements, fragments and comments inside the article; the fit does not depend on the files' layout."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    model = html_extract.fit(pages)
+    again = html_extract.fit(pages.repartition(7).orderBy("url"))
+    assert all(np.array_equal(model.weights[k], again.weights[k]) for k in model.weights)
+    body = "<p>The first of the paragraphs, with some words in it.</p><p>A second one that goes on from there.</p><p>And a third to end with.</p>"
+    want = "The first of the paragraphs, with some words in it.\nA second one that goes on from there.\nAnd a third to end with."
+    comments = "<p>I liked it a lot</p><p>so did we, thanks for it</p></section>"
+    html = {1: f'<html><body><nav><a href=/>Home</a><a href=/x>More</a></nav><div class="zq1">{body}</div><footer>Imprint and terms</footer></body></html>',
+            2: f'<article>{body}<section class="comments">{comments}</article>', 3: f"<div>{body}</div>",
+            4: f'<body><div class="menu"><a href=/>Home</a></div><section class="kv7">{body}</section><div class="sidebar"><p>Other pages to read</p></div></body>',
+            5: f'<main>{body}<section class="reader-comments">{comments}</main>'}
+    found = {r.page_id: r.text for r in html_extract.extracted(spark.createDataFrame([(k, "u", v) for k, v in html.items()], "page_id long, url string, html string"), model).collect()}
+    assert found == dict.fromkeys(html, want)
+
+
 def test_backpropagation_equals_differences():
     composer = html_extract.Composer(["some words of a text. And more of them"], seed=1)
     pages = [composer.page() for _ in range(3)]
