@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from minewright.operators import bayes
 from minewright.plans.bindings import LABELLED, labelled
 from minewright.registry import Tables, plan
 from minewright.session import cut, scratch_path
-from minewright.streaming.classify import run_available
+from minewright.streaming.classify import run_parts
 
 MODEL = rf"""{LABELLED}, words AS (
   SELECT DISTINCT doc_id, lower(w) AS feature FROM (
@@ -35,11 +37,20 @@ fisher AS (
 
 
 class Setup:
+    """The model and the documents' words, each worked out when a query first needs it."""
+
     def __init__(self, t: Tables):
+        self.tables = t
         self.docs = t.documents.select("doc_id", "text")
-        trained = bayes.train(labelled(t))
-        self.model = bayes.Model(cut(trained.features, "features"), cut(trained.categories, "categories"))
-        self.features = cut(bayes.document_features(self.docs), "words")
+
+    @cached_property
+    def model(self):
+        trained = bayes.train(labelled(self.tables))
+        return bayes.Model(cut(trained.features, "features"), cut(trained.categories, "categories"))
+
+    @cached_property
+    def features(self):
+        return cut(bayes.document_features(self.docs), "words")
 
     def nb(self):
         return bayes.log_probabilities(self.features, self.docs, self.model)
@@ -104,8 +115,27 @@ def fisher_classify(t: Tables):
     return bayes.fisher_classify(_prob(Setup(t).fisher()), {"bad": 0.6, "good": 0.2}, "unknown")
 
 
-@plan("stream_classify")
+PARTS = 8
+
+
+@plan("stream_classify", rf"""WITH {LABELLED}, words AS (
+  SELECT DISTINCT doc_id, lower(w) AS feature FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(text, '\W+')) AS w FROM labelled) WHERE length(w) BETWEEN 3 AND 19),
+fc AS (SELECT doc_id % {PARTS} AS part, feature, category, count(*) AS n FROM words JOIN labelled USING (doc_id) GROUP BY ALL),
+steps AS (SELECT unnest(range({PARTS})) AS batch),
+cc AS (SELECT batch, category, count(*) AS n FROM labelled JOIN steps ON doc_id % {PARTS} < batch GROUP BY ALL),
+known AS (SELECT batch, feature, category, sum(n) AS n FROM fc JOIN steps ON part < batch GROUP BY ALL),
+totals AS (SELECT batch, feature, sum(n) AS total FROM known GROUP BY ALL),
+logs AS (
+  SELECT d.doc_id, d.batch, cc.category, ln(any_value(cc.n) / (SELECT sum(n) FROM cc c WHERE c.batch = d.batch))
+    + coalesce(sum(CASE WHEN w.feature IS NULL THEN 0 WHEN t.total IS NULL THEN ln(0.5) ELSE ln((0.5 + t.total * coalesce(k.n, 0) / cc.n) / (1 + t.total)) END), 0) AS log_prob
+  FROM (SELECT doc_id, doc_id % {PARTS} AS batch FROM labelled) d JOIN cc ON cc.batch = d.batch LEFT JOIN words w ON w.doc_id = d.doc_id
+  LEFT JOIN totals t ON t.batch = d.batch AND t.feature = w.feature
+  LEFT JOIN known k ON k.batch = d.batch AND k.feature = w.feature AND k.category = cc.category GROUP BY d.doc_id, d.batch, cc.category)
+SELECT l.doc_id, l.category, g.guess, CAST(l.doc_id % {PARTS} AS INT) AS batch FROM labelled l LEFT JOIN (
+  SELECT doc_id, arg_min(category, (-round(log_prob, 9), category)) AS guess FROM logs GROUP BY doc_id) g USING (doc_id)""")
 def stream_classify(t: Tables):
+    """The labelled documents as a stream of eight parts: each is guessed with what the parts before have taught."""
     source = scratch_path(t.spark, "labelled")
-    labelled(t).repartitionByRange(4, "doc_id").write.parquet(source)
-    return run_available(t.spark, source, scratch_path(t.spark, "stream")).guesses()
+    labelled(t).withColumn("part", F.pmod("doc_id", F.lit(PARTS))).write.partitionBy("part").parquet(source)
+    return run_parts(t.spark, source, scratch_path(t.spark, "stream")).guesses()
