@@ -11,6 +11,7 @@ import pytest
 
 from minewright.llm import html_extract, langid, toxicity
 from minewright.llm.html_blocks import leaves
+from minewright.llm.words import span_hashes
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -93,6 +94,47 @@ def test_toxic_documents_are_caught(spark, docs_of):
     assert toxicity.graded(docs_of([]), model).count() == 0
 
 
+def test_scores_and_grades_restated(spark, docs_of, odd_rows):
+    """Every column of ``graded`` from the model's weights, word by word in plain Python."""
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    weights = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    letters = set(b"0123456789abcdefghijklmnopqrstuvwxyz")
+
+    def words(text):
+        data, out, word = (text or "").encode(), [], bytearray()
+        for byte in data + b" ":
+            byte += 32 * (65 <= byte <= 90)
+            if byte in letters or byte >= 128:
+                word.append(byte)
+            elif word:
+                out.append(bytes(word))
+                word = bytearray()
+        return set(out)
+
+    buckets = {}
+
+    def bucket(word):
+        if word not in buckets:
+            data = np.frombuffer(word, np.uint8)
+            buckets[word] = int(span_hashes(data, np.array([0]), np.array([len(data)]))[0] % np.uint64(model.size))
+        return buckets[word]
+
+    rows = [(r.doc_id, r.text) for r in docs.limit(300).collect()] + odd_rows
+    found = toxicity.graded(docs_of(rows).coalesce(1), model).collect()
+    want = []
+    for id_, text in rows:
+        score = sum(weights.get(b, 0.0) for b in {bucket(w) for w in words(text)})
+        above = [1 / (1 + math.exp(-max(-60.0, min(60.0, score - t)))) for t in model.thresholds]
+        shares = [a - b for a, b in zip([1.0, *above], [*above, 0.0])]
+        want.append((id_, sum(above), above[0], shares.index(max(shares)), above[0] >= 0.5))
+    key = lambda r: (str(r[0]), r[1])
+    for got, (id_, severity, p_toxic, grade, toxic) in zip(sorted(map(tuple, found), key=key), sorted(want, key=key)):
+        assert got[0] == id_ and got[1] == pytest.approx(severity, abs=1e-9) and got[2] == pytest.approx(p_toxic, abs=1e-9)
+        assert (got[3], got[4]) == (grade, toxic)
+    assert any(w[4] for w in want) and not all(w[4] for w in want)
+
+
 def test_thresholds_share_weights_in_order():
     draw = random.Random(1)
     rows, terms, grades = [], [], []
