@@ -162,7 +162,27 @@ def build_regression_tree(t: Tables):
     return means.groupBy("guess").agg(F.sum("n").alias("n"))
 
 
-@plan("prune")
+def pruned(least: float) -> str:
+    """``leaves0`` and ``splits0``: pairs of leaves merged from the deepest level up."""
+    entropy = "log2(sum(n)) - sum(n * log2(n)) / sum(n)"
+    parts = [f"leaves{LEVELS} AS (SELECT node, label, n FROM leaves), splits{LEVELS} AS (SELECT * FROM splits)"]
+    for k in range(LEVELS - 1, -1, -1):
+        parts.append(f"""under{k} AS (SELECT l.node, label, n, s.node AS parent FROM leaves{k + 1} l JOIN splits{k + 1} s
+  ON s.node = left(l.node, length(l.node) - 1) AND length(s.node) = {k + 1}),
+below{k} AS MATERIALIZED (SELECT * FROM under{k} WHERE parent IN (SELECT parent FROM under{k} GROUP BY parent HAVING count(DISTINCT node) = 2)),
+gone{k} AS MATERIALIZED (SELECT parent FROM (
+    SELECT parent, {entropy} AS h FROM (SELECT parent, label, sum(n) AS n FROM below{k} GROUP BY parent, label) GROUP BY parent)
+  JOIN (SELECT parent, sum(h) / 2 AS halves FROM (SELECT parent, node, {entropy} AS h FROM below{k} GROUP BY parent, node) GROUP BY parent) USING (parent)
+  WHERE h - halves < {least}),
+leaves{k} AS MATERIALIZED (SELECT node, label, n FROM leaves{k + 1} WHERE left(node, length(node) - 1) NOT IN (SELECT parent FROM gone{k})
+  UNION ALL SELECT parent, label, sum(n)::BIGINT FROM below{k} WHERE parent IN (SELECT parent FROM gone{k}) GROUP BY parent, label),
+splits{k} AS MATERIALIZED (SELECT * FROM splits{k + 1} WHERE node NOT IN (SELECT parent FROM gone{k}))""")
+    return ",\n".join(parts)
+
+
+@plan("prune", f"""WITH {tree_oracle()}, {pruned(0.5)}
+SELECT node, "column", num_value, str_value, NULL::VARCHAR AS label, NULL::BIGINT AS n FROM splits0
+UNION ALL SELECT node, NULL, NULL, NULL, label, n FROM leaves0""")
 def prune(t: Tables):
     return _flat(dtree.prune(line_tree(t), 0.5))
 
@@ -191,7 +211,23 @@ def tree_classify(t: Tables):
     return dtree.classify(observations(t), line_tree(t), LINE_COLUMNS)
 
 
-@plan("tree_classify_missing")
+def folded() -> str:
+    """``f1``: questions go down both branches of a missing value, and their histograms come back up."""
+    parts = ["""d0 AS (SELECT id, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS l_returnflag, l_linestatus,
+  CASE WHEN l_linestatus = 'F' THEN l_quantity END AS l_quantity, discount, 'r' AS node FROM asked)"""]
+    for k in range(LEVELS):
+        parts.append(f"""d{k + 1} AS (SELECT id, l_returnflag, l_linestatus, l_quantity, discount, d.node || unnest(
+  CASE WHEN "column" IS NULL THEN [''] WHEN {HIT} IS NULL THEN ['t', 'f'] WHEN {HIT} THEN ['t'] ELSE ['f'] END) AS node FROM d{k} d LEFT JOIN splits s ON s.node = d.node)""")
+    parts.append(f"f{LEVELS + 1} AS (SELECT id, node, label, n::DOUBLE AS weight FROM d{LEVELS} JOIN leaves USING (node))")
+    for k in range(LEVELS, 0, -1):
+        parts.append(f"""t{k}_ AS (SELECT id, node, CASE WHEN length(node) = {k + 1} THEN left(node, {k}) ELSE node END AS parent, sum(weight) AS part FROM f{k + 1} GROUP BY id, node),
+w{k}_ AS (SELECT id, parent, sum(part) AS whole FROM t{k}_ GROUP BY id, parent),
+f{k} AS MATERIALIZED (SELECT f.id, t.parent AS node, label, sum(weight * part / whole) AS weight FROM f{k + 1} f JOIN t{k}_ t ON t.id = f.id AND t.node = f.node
+  JOIN w{k}_ w ON w.id = t.id AND w.parent = t.parent GROUP BY f.id, t.parent, label)""")
+    return ",\n".join(parts)
+
+
+@plan("tree_classify_missing", f"WITH {tree_oracle()}, {OBSERVED}, {folded()} SELECT id, label, round(weight, 6) AS weight FROM f1")
 def tree_classify_missing(t: Tables):
     """The same questions with the quantity unknown for open lines and the flag for returned ones."""
     rows = (observations(t).withColumn("l_quantity", F.when(F.col("l_linestatus") == "F", F.col("l_quantity")))
