@@ -28,16 +28,31 @@ def postings(pages: DataFrame) -> DataFrame:
             .where(~F.col("word").isin(text.STOP_WORDS)))
 
 
-def posting_store(found: DataFrame, path: str, row_group: int = 1 << 20) -> DataFrame:
-    """The postings written to ``path``, sorted by word: ``word, url, n, first, locations``.
+def grouped_postings(pages: DataFrame) -> DataFrame:
+    """``word, url, locations``: the same postings, one row per word of a page.
+
+    A page is one row, so its words are sorted and cut into runs of one word where it lies; nothing is shuffled.
+    """
+    words = text.plain_words(text.page_text(F.col("html")))
+    placed = F.filter(F.transform(words, lambda word, at: F.struct(word.alias("word"), at.alias("at"))), lambda w: ~w["word"].isin(text.STOP_WORDS))
+    rows = pages.select("url", F.array_sort(placed).alias("w")).where(F.size("w") > 0)
+    first = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda k: (k == 0) | (F.get("w", k)["word"] != F.get("w", k - 1)["word"]))
+    rows = rows.select("url", "w", first.alias("first"))
+    ends = F.concat(F.slice("first", 2, F.size("first")), F.array(F.size("w")))
+    runs = F.zip_with("first", ends, lambda k, end: F.struct(
+        F.get("w", k)["word"].alias("word"), F.transform(F.slice("w", k + 1, end - k), lambda w: w["at"]).alias("locations")))
+    return rows.select("url", F.inline(runs)).select("word", "url", "locations")
+
+
+def posting_store(grouped: DataFrame, path: str, row_group: int = 1 << 20) -> DataFrame:
+    """``grouped(word, url, locations)`` written to ``path``, sorted by word: ``word, url, n, first, locations``.
 
     A word's rows lie side by side in one or few files (a frequent word spans several), and small row groups carry the
     first and last word they hold: a filter on literal words reads the row groups of these words and no others.
     """
-    rows = (found.groupBy("word", "url").agg(F.sort_array(F.collect_list("location")).alias("locations"))
-            .select("word", "url", F.size("locations").cast("long").alias("n"), F.get("locations", F.lit(0)).alias("first"), "locations"))
-    (rows.repartitionByRange("word", "url").sortWithinPartitions("word", "url")
-     .write.option("parquet.block.size", row_group).parquet(path))
+    sorted_rows = grouped.select("word", "url", "locations").repartitionByRange("word", "url").sortWithinPartitions("word", "url")
+    rows = sorted_rows.select("word", "url", F.size("locations").cast("long").alias("n"), F.get("locations", F.lit(0)).alias("first"), "locations")
+    rows.write.option("parquet.block.size", row_group).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -64,7 +64,7 @@ class Site:
 
     @cached_property
     def store(self):
-        return index.posting_store(index.postings(self.pages), scratch_path(self.pages.sparkSession, "postings"))
+        return index.posting_store(index.grouped_postings(self.pages), scratch_path(self.pages.sparkSession, "postings"))
 
     @property
     def postings(self):

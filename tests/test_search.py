@@ -22,10 +22,24 @@ def scanned_rows(df):
     raise AssertionError("no scan")
 
 
+def grouped(rows):
+    return rows.groupBy("word", "url").agg(F.sort_array(F.collect_list("location")).alias("locations"))
+
+
+def test_grouped_postings_equal_postings(spark):
+    html = ["<p>The cat and a cat, it is the CAT of cats</p>", "", None, "<p>the of</p>", "dog " * 500 + "<b>Cat</b>"]
+    pages = spark.createDataFrame([(f"u{k}", h) for k, h in enumerate(html)], "url STRING, html STRING")
+    want = {}
+    for r in index.postings(pages).collect():
+        want.setdefault((r.word, r.url), []).append(r.location)
+    assert {(r.word, r.url): list(r.locations) for r in index.grouped_postings(pages).collect()} == {k: sorted(v) for k, v in want.items()}
+    assert want["cat", "u0"] == [1, 4, 8]
+
+
 def test_a_query_reads_the_row_groups_of_its_words(spark):
     rows = spark.range(40_000).select(F.format_string("page%05d", F.col("id") % 200).alias("url"), F.col("id").cast("int").alias("location"),
                                       F.format_string("word%04d", F.floor(F.col("id") / 20)).alias("word"))
-    store = index.posting_store(rows, scratch_path(spark, "store"), row_group=1 << 14)
+    store = index.posting_store(grouped(rows), scratch_path(spark, "store"), row_group=1 << 14)
     assert store.count() == 40_000
     some = store.where(F.col("word").isin("word0500", "word1700"))
     assert "PushedFilters: [In(word, [word0500,word1700])]" in some._jdf.queryExecution().executedPlan().toString()
@@ -37,7 +51,7 @@ def test_a_query_reads_the_row_groups_of_its_words(spark):
 
 def test_matched_pages_and_scores(spark):
     places = [("p", 0, "a"), ("p", 4, "a"), ("p", 2, "b"), ("q", 9, "a"), ("q", 1, "b"), ("r", 5, "a")]
-    store = index.posting_store(spark.createDataFrame(places, "url STRING, location INT, word STRING"), scratch_path(spark, "store"))
+    store = index.posting_store(grouped(spark.createDataFrame(places, "url STRING, location INT, word STRING")), scratch_path(spark, "store"))
     query = spark.createDataFrame([(0, "a"), (1, "zzz"), (2, "b")], "word_no INT, word STRING")
     pages = ranking.matched_pages(store, query)
     assert {(r.url, r.frequency, r.location) for r in pages.collect()} == {("p", 2.0, 2.0), ("q", 1.0, 10.0)}
