@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from minewright.operators import assign
+from minewright.operators.pairs import spread
 from minewright.operators.ranks import numbered
 from minewright.registry import Tables, plan
 from minewright.session import cut
@@ -23,12 +24,14 @@ def flights(t: Tables):
 def solutions(t: Tables, found):
     """One candidate per customer: every nation's traveller takes hashed flights out and back.
 
-    Choices are kept below the number of flights of the route, so each one exists.
+    Choices are kept below the number of flights of the route, so each one exists. A customer becomes two rows
+    per nation, so the few bytes of the customers are dealt out first: as read they may be one task.
     """
     sizes = found.groupBy("origin", "direction").agg(F.count("*").alias("size"))
     # One row for the whole domain: two route sizes for each of the nations.
     domain = sizes.agg(F.array_sort(F.collect_list(F.struct("origin", "direction", "size"))).alias("routes"))
-    return t.customer.select("c_custkey").withColumn("routes", domain.scalar()).select(
+    customers = spread(t.customer.select("c_custkey"), ["c_custkey"])
+    return customers.withColumn("routes", domain.scalar()).select(
         F.col("c_custkey").alias("sol_id"),
         F.transform("routes", lambda r: F.pmod(
             F.col("c_custkey") * (7 - 4 * r["direction"]) + r["origin"] * (3 - 2 * r["direction"]), r["size"])).alias("choices"))
