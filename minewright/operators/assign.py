@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minewright.operators.pairs import paired
+from minewright.operators.pairs import paired, spread
+from minewright.session import cut
 
 # Surcharge, room penalties and the spacing below which nodes are penalised.
 LATE_FEE = 50
@@ -81,16 +82,20 @@ def layout_cost(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     The plane is cut into squares of one spacing. Two edges are compared only in squares both may
     pass, and a crossing counts in the one square that holds the crossing point; crowded nodes are
-    at most one square apart. So no pair far apart is ever formed.
+    at most one square apart. So no pair far apart is ever formed. Edges with the same ends, and nodes in
+    one place, are met once by their number: copies never cross each other, and nodes in one place are a spacing too close.
     """
     ends = nodes.select("sol_id", "node", F.col("x").cast("double"), F.col("y").cast("double"))
     segments = (edges.join(ends.select("sol_id", F.col("node").alias("a"), F.col("x").alias("x1"), F.col("y").alias("y1")), "a")
                 .join(ends.select("sol_id", F.col("node").alias("b"), F.col("x").alias("x2"), F.col("y").alias("y2")), ["sol_id", "b"])
-                .select("sol_id", "edge", "x1", "y1", "x2", "y2"))
+                .groupBy("sol_id", "x1", "y1", "x2", "y2").agg(F.min("edge").alias("edge"), F.count("*").cast("double").alias("n")))
+    places = cut(ends.groupBy("sol_id", "x", "y").agg(F.min("node").alias("node"), F.count("*").cast("double").alias("n")), "places")
+    both = F.col("x.n") * F.col("y.n")
 
     def span(low, high):
         return F.explode(F.sequence(F.floor((F.least(low, high) - 1e-6) / SPACING), F.floor((F.greatest(low, high) + 1e-6) / SPACING)))
 
+    segments = spread(cut(segments, "segments"), ["sol_id", "edge"])
     squares = segments.select("*", span("x1", "x2").alias("cx")).select("*", span("y1", "y2").alias("cy"))
     met = paired(squares, ["sol_id", "cx", "cy"], "edge")
     x1, y1, x2, y2 = (F.col(f"x.{c}") for c in ("x1", "y1", "x2", "y2"))
@@ -101,18 +106,19 @@ def layout_cost(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                  .where((F.col("ua") > 0) & (F.col("ua") < 1) & (F.col("ub") > 0) & (F.col("ub") < 1))
                  .where((F.floor((x1 + F.col("ua") * (x2 - x1)) / SPACING) == F.col("cx"))
                         & (F.floor((y1 + F.col("ua") * (y2 - y1)) / SPACING) == F.col("cy")))
-                 .select("sol_id", F.lit(1.0).alias("part")))
+                 .select("sol_id", both.alias("part")))
 
-    home = ends.select("*", F.floor(F.col("x") / SPACING).alias("hx"), F.floor(F.col("y") / SPACING).alias("hy"))
+    home = places.select("*", F.floor(F.col("x") / SPACING).alias("hx"), F.floor(F.col("y") / SPACING).alias("hy"))
     around = home.select("*", F.explode(F.array(*[
         F.struct((F.col("hx") + dx).alias("cx"), (F.col("hy") + dy).alias("cy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])).alias("c"))
-    near = (around.select("sol_id", "node", "x", "y", "hx", "hy", "c.cx", "c.cy"))
+    near = (around.select("sol_id", "node", "n", "x", "y", "hx", "hy", "c.cx", "c.cy"))
     close = paired(near, ["sol_id", "cx", "cy"], "node")
     # Both nodes see several common squares; the pair counts in the home square of its first node.
     gap = F.sqrt((F.col("x.x") - F.col("y.x")) * (F.col("x.x") - F.col("y.x")) + (F.col("x.y") - F.col("y.y")) * (F.col("x.y") - F.col("y.y")))
     crowded = (close.where((F.col("x.hx") == F.col("cx")) & (F.col("x.hy") == F.col("cy")))
-               .select("sol_id", gap.alias("gap")).where(F.col("gap") < SPACING)
-               .select("sol_id", (1.0 - F.col("gap") / SPACING).alias("part")))
-    parts = crossings.unionByName(crowded).groupBy("sol_id").agg(F.sum("part").alias("cost"))
+               .select("sol_id", both.alias("both"), gap.alias("gap")).where(F.col("gap") < SPACING)
+               .select("sol_id", (F.col("both") * (1.0 - F.col("gap") / SPACING)).alias("part")))
+    stacked = places.where("n > 1").select("sol_id", (F.col("n") * (F.col("n") - 1) / 2).alias("part"))
+    parts = crossings.unionByName(crowded).unionByName(stacked).groupBy("sol_id").agg(F.sum("part").alias("cost"))
     return (nodes.select("sol_id").distinct().join(parts, "sol_id", "left")
             .select("sol_id", F.coalesce("cost", F.lit(0.0)).alias("cost")))

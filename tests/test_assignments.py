@@ -1,5 +1,6 @@
 """Candidate schedules and layouts."""
 
+from minewright.operators import assign
 from minewright.plans import assignments
 from minewright.registry import Tables
 
@@ -8,3 +9,15 @@ def test_candidates_are_made_in_as_many_tasks_as_there_are_shuffle_partitions(sp
     t = Tables(spark, "/root/testdata/sf0.001")
     found = assignments.solutions(t, assignments.flights(t))
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_copies_of_edges_and_nodes_meet_once_by_their_number(spark, monkeypatch):
+    met, real = [], assign.paired
+    monkeypatch.setattr(assign, "paired", lambda rows, key, item: met.append(rows.count()) or real(rows, key, item))
+    ends = [(10, 10), (30, 30), (10, 30), (30, 10)]
+    nodes = spark.createDataFrame([(0, 4 * k + i, x, y) for k in range(25) for i, (x, y) in enumerate(ends)], "sol_id INT, node LONG, x INT, y INT")
+    edges = spark.createDataFrame([(2 * k + i, 4 * k + 2 * i, 4 * k + 2 * i + 1) for k in range(25) for i in range(2)], "edge LONG, a LONG, b LONG")
+    cost = assign.layout_cost(nodes, edges).first()["cost"]
+    side, across = 1 - 20 / 50, 1 - 800 ** 0.5 / 50
+    assert abs(cost - (25 * 25 + 4 * 25 * 24 / 2 + 25 * 25 * (4 * side + 2 * across))) < 1e-6
+    assert met[0] == 2 and met[1] == 4 * 9
