@@ -3,9 +3,10 @@
 import random
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
-from minewright.operators import factor
+from minewright.operators import factor, factor_blocks
 from minewright.plans import factors
 from minewright.session import laid_out
 
@@ -48,3 +49,30 @@ def test_cost_equals_the_dense_error(spark):
     dense = {(i, j): v for i, j, v in cells}
     want = sum((dense.get((i, j), 0.0) - sum(a * b for a, b in zip(left[i], right[j]))) ** 2 for i in left for j in right)
     assert factor.cost(matrix, w, h, 2).first()["cost"] == pytest.approx(want)
+
+
+def test_rounds_over_several_blocks_equal_the_dense_rounds(spark):
+    """1500 rows and 1100 columns are two blocks a side; a layout has one row per block, and no cell is lost."""
+    rng = random.Random(6)
+    cells = [(i, f"w{rng.randrange(1100):04d}", float(rng.randint(0, 4))) for i in range(1500) for _ in range(4)]
+    matrix = spark.createDataFrame(cells, "i LONG, j STRING, v DOUBLE")
+    w, h = factor.factorize(matrix, 2, rounds=2)
+    left, right = ({r[0]: r[1] for r in side.collect()} for side in (w, h))
+    rows, columns = sorted({c[0] for c in cells}), sorted({c[1] for c in cells})
+    assert sorted(left) == rows and sorted(right) == columns
+    v = np.zeros((len(rows), len(columns)))
+    np.add.at(v, ([rows.index(c[0]) for c in cells], [columns.index(c[1]) for c in cells]), [c[2] for c in cells])
+    begin_w, begin_h = ({r[0]: r[1] for r in factor.start(matrix, *side, 2).collect()} for side in (("i", "w"), ("j", "h")))
+    dense_w, dense_h = np.array([begin_w[i] for i in rows]), np.array([begin_h[j] for j in columns])
+    for _ in range(2):  # a zero denominator gives 0
+        with np.errstate(invalid="ignore"):
+            dense_h = np.nan_to_num(dense_h * (v.T @ dense_w) / (dense_h @ (dense_w.T @ dense_w)))
+            dense_w = np.nan_to_num(dense_w * (v @ dense_h) / (dense_w @ (dense_h.T @ dense_h)))
+    assert np.allclose([left[i] for i in rows], dense_w) and np.allclose([right[j] for j in columns], dense_h)
+
+
+def test_a_layout_has_a_row_per_block(spark):
+    cells = spark.createDataFrame([(0, k % 1024, k // 700, k % 700, 1.0) for k in range(3000)],
+                                  "i_block LONG, i_place INT, j_block LONG, j_place INT, v DOUBLE")
+    assert factor_blocks.layout(cells, "i", "j", "by_i").count() == 1
+    assert factor_blocks.layout(cells, "j", "i", "by_j").count() == 5
