@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from minewright.functions import text
 from minewright.operators import index, links, ranking, vectorize
 from minewright.session import scratch_path
 
@@ -93,3 +94,30 @@ def test_first_rows(spark):
     got = {r.key: (r.seq, r.other) for r in vectorize.first_by(df, "key", "seq").collect()}
     assert got["a"] == (0, "y") and got[None] == (1, "w") and got["c"] in {(7, "u"), (7, "v")} and got["d"] == (None, "t") and len(got) == 4
     assert vectorize.first_by(df, "key", "seq").count() == 4
+
+
+def test_page_words_equal_the_words_of_the_page_text(spark):
+    odd = ["a&amp;lt;b &l<b>t; c&nbsp;d&ampx;", "x<!-- <b>no</b> -->y<script>n</script >o</script>z", "<p\n class='q'>one<br>two", "tail <b unclosed\nwords\n", "",
+           "éİKK <STYLE a>s</style>v", "a < b > c <> d", "<<a>b>c", None, "   ", "&#39;s &quot;t&gt;u&", "the <!-x-> of <scriptx>kept</scriptx>", "-" * 20000 + "end"]
+    pages = spark.createDataFrame([(str(k), html) for k, html in enumerate(odd)], "url STRING, html STRING")
+    want = pages.select("url", text.plain_words(text.page_text(F.col("html")))).collect()
+    got = pages.select("url", text._lower_nonempty(text.page_words(F.col("html")))).collect()
+    assert got == want
+    rows = {(r.word, r.url): list(r.locations) for r in index.grouped_postings(pages).collect()}
+    found = {}
+    for url, location, word in index.postings(pages).collect():
+        found.setdefault((word, url), []).append(location)
+    assert rows == {k: sorted(v) for k, v in found.items()}
+
+
+def test_a_store_takes_its_pages_once(spark):
+    pages, seen = spark.createDataFrame([(f"u{k}", f"word{k} again") for k in range(40)], "url STRING, html STRING"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    store = index.posting_store(index.grouped_postings(pages.mapInArrow(counted, pages.schema)), scratch_path(spark, "postings"))
+    assert store.count() == 80
+    assert seen.value == 40
