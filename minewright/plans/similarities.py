@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from minewright.operators import similarity as sim
 from minewright.plans.bindings import NEIGHBOURS, PREFS, neighbours, prefs, stored_prefs
 from minewright.registry import Tables, plan
+from minewright.session import cut, laid_out
 
 SHARED = f"""{PREFS}, {NEIGHBOURS}, met AS (
   SELECT p.a, p.b, x.item, x.rating AS x, y.rating AS y FROM pairs p
@@ -119,5 +120,6 @@ FROM prefs p JOIN matches m ON p.item = m.item
 WHERE NOT EXISTS (SELECT 1 FROM prefs r WHERE r.person = p.person AND r.item = m.other)
 GROUP BY p.person, m.other""")
 def recommend_item(t: Tables):
-    ratings = stored_prefs(t)
-    return _rounded(sim.recommended_items(ratings, _matches(ratings)), "score")
+    """The ratings lie by person, so that what a person is reached by is summed in place."""
+    ratings = laid_out(prefs(t), ["person"], "prefs")
+    return _rounded(sim.recommended_items(ratings, cut(_matches(ratings), "matches")), "score")
