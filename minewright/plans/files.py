@@ -36,7 +36,7 @@ FROM (SELECT DISTINCT feed FROM entries) CROSS JOIN (SELECT word FROM band) LEFT
 def read_matrix(t: Tables):
     folder = scratch_path(t.spark, "matrix")
     found = entries(t)
-    counts = vectorize.feed_word_counts(found)
+    counts = cut(vectorize.feed_word_counts(found), "counts")
     band = vectorize.vocabulary_band(counts, found)
     words = cut(vectorize.word_blocks(band, 100), "words")
     files.write_matrix(vectorize.matrix_blocks(counts, words, found), words, folder)

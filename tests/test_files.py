@@ -2,7 +2,11 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from minewright.functions import text
 from minewright.operators import vectorize
+from minewright.registry import load_all
 from minewright.sources import files
 
 
@@ -46,3 +50,20 @@ def test_matrix_in_column_blocks(spark, tmp_path):
     plain = {(r.row_name, r.column): r.value for r in files.read_matrix(spark, str(tmp_path / "one.txt")).collect()}
     assert plain == {("f", "x"): 1.0, ("f", "y"): 2.0, ("g", "x"): 3.0, ("g", "y"): 4.0}
     assert vectorize.matrix_blocks(df, words.limit(0), df).count() == 0
+
+
+def test_matrix_counts_the_words_once(spark, monkeypatch):
+    asked = []
+    whole = vectorize.matrix_blocks
+    monkeypatch.setattr(vectorize, "matrix_blocks", lambda counts, *rest: asked.append(counts) or whole(counts, *rest))
+    folder = "/root/testdata/sf0.001"
+    for key in ("read_matrix", "doc_term_matrix"):
+        load_all()[key](spark, folder)
+    assert len(asked) == 2 and not [f for counts in asked for f in counts.inputFiles() if folder in f]
+
+
+def test_letters_are_told_from_the_rest_at_every_code_point(spark):
+    tagged = "".join(chr(c) + "a" for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF) + "<b>x<c"
+    row = spark.createDataFrame([(tagged,)], "html STRING").select(
+        text.html_pieces(F.col("html")).alias("got"), F.split(F.regexp_replace("html", "<[^>]+", ""), "[^A-Z^a-z]+").alias("want")).first()
+    assert row["got"] == row["want"] and len(row["got"]) > 1_000_000
