@@ -92,21 +92,19 @@ def weighted_probabilities(model: Model) -> DataFrame:
 def _log_sums(features: DataFrame, docs: DataFrame, model: Model, prob) -> DataFrame:
     """``doc_id, category, log_sum, features`` for every document and category.
 
-    A document feature meets one model row, so a feature found everywhere only widens the side
+    The logs of a feature are worked out once, in the model, by the place of the category; a feature without a model row has
+    the log of the assumed probability. So the features are read in one pass, and a feature found everywhere only widens the side
     that can be split. The logs are added per category before the shuffle.
     """
-    known = features.join(feature_table(model), "feature").withColumn("categories", _category_list(model))
-    logs = known.select("doc_id", "counts", "total", "categories", F.explode("categories").alias("c")).select(
-        "doc_id", F.col("c.category").alias("category"),
-        F.ln(_weighted(prob(F.col("counts"), F.col("c"), F.col("categories")), F.col("total"))).alias("log"))
-    seen = logs.groupBy("doc_id", "category").agg(F.sum("log").alias("log_sum"), F.count("*").alias("known"))
-    sizes = features.groupBy("doc_id").agg(F.count("*").alias("features"))
-    grid = (docs.select("doc_id").withColumn("c", F.explode(_category_list(model)))
-            .select("doc_id", F.col("c.category").alias("category"), F.col("c.n").alias("size")))
-    unseen = F.coalesce("features", F.lit(0)) - F.coalesce("known", F.lit(0))
-    return (grid.join(seen, ["doc_id", "category"], "left").join(sizes, "doc_id", "left")
-            .select("doc_id", "category", "size", F.coalesce("features", F.lit(0)).alias("features"),
-                    (F.coalesce("log_sum", F.lit(0.0)) + unseen * F.ln(F.lit(ASSUMED))).alias("log_sum")))
+    scored = feature_table(model).withColumn("categories", _category_list(model)).select("feature", F.transform(
+        "categories", lambda c: F.ln(_weighted(prob(F.col("counts"), c, F.col("categories")), F.col("total")))).alias("logs"))
+    unseen = F.array_repeat(F.ln(F.lit(ASSUMED)), F.size(_category_list(model)))
+    logs = features.join(scored, "feature", "left").select("doc_id", F.posexplode(F.coalesce("logs", unseen)).alias("at", "log"))
+    seen = logs.groupBy("doc_id", "at").agg(F.sum("log").alias("log_sum"), F.count("*").alias("features"))
+    grid = (docs.select("doc_id", F.posexplode(_category_list(model)).alias("at", "c"))
+            .select("doc_id", "at", F.col("c.category").alias("category"), F.col("c.n").alias("size")))
+    return grid.join(seen, ["doc_id", "at"], "left").select(
+        "doc_id", "category", "size", F.coalesce("features", F.lit(0)).alias("features"), F.coalesce("log_sum", F.lit(0.0)).alias("log_sum"))
 
 
 def log_probabilities(features: DataFrame, docs: DataFrame, model: Model) -> DataFrame:

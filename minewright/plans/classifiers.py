@@ -37,7 +37,7 @@ fisher AS (
 
 
 class Setup:
-    """The model and the documents' words, each worked out when a query first needs it."""
+    """The model, worked out when a query first needs it, and the documents' words, which a query reads in one pass."""
 
     def __init__(self, t: Tables):
         self.tables = t
@@ -48,9 +48,9 @@ class Setup:
         trained = bayes.train(labelled(self.tables))
         return bayes.Model(cut(trained.features, "features"), cut(trained.categories, "categories"))
 
-    @cached_property
+    @property
     def features(self):
-        return cut(bayes.document_features(self.docs), "words")
+        return bayes.document_features(self.docs)
 
     def nb(self):
         return bayes.log_probabilities(self.features, self.docs, self.model)
