@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minewright.session import cut
+from minewright.session import cut, laid_out
 
 # Weights of missing connections, starting weights and learning rate.
 MISSING_IN = -0.2
@@ -70,12 +70,13 @@ def forward(queries: DataFrame, results: DataFrame, net: Network) -> DataFrame:
     """``query_id, url_id, output`` for every result.
 
     A url's input is the idle activation times all its weights, corrected for the nodes that
-    share a word with the query; nodes without a weight to the url add nothing.
+    share a word with the query; nodes without a weight to the url add nothing. The weights meet the activations by node and are
+    summed where they lie: weights laid out by url do not move for it.
     """
+    reached = cut(activations(queries, net), "active")
     idle = queries.groupBy("query_id").agg(F.tanh(F.count("*") * MISSING_IN).alias("idle"))
     all_weights = net.hidden_url.groupBy("url_id").agg(F.sum("strength").alias("weight"))
-    shifts = (activations(queries, net).join(results, "query_id").join(net.hidden_url, ["node", "url_id"])
-              .groupBy("query_id", "url_id")
+    shifts = (net.hidden_url.join(reached, "node").groupBy("query_id", "url_id")
               .agg(F.sum((F.col("active") - F.col("idle")) * F.col("strength")).alias("shift")))
     return (results.join(idle, "query_id").join(all_weights, "url_id", "left").join(shifts, ["query_id", "url_id"], "left")
             .select("query_id", "url_id", F.tanh(
@@ -83,19 +84,24 @@ def forward(queries: DataFrame, results: DataFrame, net: Network) -> DataFrame:
 
 
 def backward(queries: DataFrame, results: DataFrame, clicked: DataFrame, net: Network) -> Network:
-    """The network after one batch: the weight changes of all its queries added up."""
+    """The network after one batch: the weight changes of all its queries added up.
+
+    Outputs are laid out by url, as ``train`` lays out results and weights. The nodes of a query's results are
+    those that its outputs blame, so outputs and weights meet once.
+    """
     target = clicked.select("query_id", "url_id", F.lit(1.0).alias("target"))
     out = (forward(queries, results, net).join(target, ["query_id", "url_id"], "left")
            .select("query_id", "url_id", ((1 - F.col("output") * F.col("output"))
                                           * (F.coalesce("target", F.lit(0.0)) - F.col("output"))).alias("delta")))
-    out = cut(out, "deltas")
+    out = laid_out(out, ["url_id"], "deltas")
+    blame = cut(out.join(net.hidden_url, "url_id").groupBy("query_id", "node")
+                .agg(F.sum(F.col("delta") * F.col("strength")).alias("error")), "blame")
     idle = queries.groupBy("query_id").agg(F.tanh(F.count("*") * MISSING_IN).alias("rest"))
-    nodes = (hidden_for_query(queries, results, net).join(idle, "query_id")
+    by_word = queries.join(net.word_hidden, "word_id").select("query_id", "node")
+    nodes = (by_word.union(blame.select("query_id", "node")).distinct().join(idle, "query_id")
              .join(activations(queries, net).select("query_id", "node", "active"), ["query_id", "node"], "left")
              .select("query_id", "node", F.coalesce("active", "rest").alias("active")))
     nodes = cut(nodes, "nodes")
-    blame = (out.join(net.hidden_url, "url_id").groupBy("query_id", "node")
-             .agg(F.sum(F.col("delta") * F.col("strength")).alias("error")))
     inner = (nodes.join(blame, ["query_id", "node"], "left")
              .select("query_id", "node", ((1 - F.col("active") * F.col("active"))
                                           * F.coalesce("error", F.lit(0.0))).alias("delta")))
@@ -119,10 +125,11 @@ def train(queries: DataFrame, results: DataFrame, clicked: DataFrame, net: Netwo
     fresh = hidden_nodes(queries, results, net.word_hidden if net else None, most_words)
     if net:
         fresh = Network(net.word_hidden.unionByName(fresh.word_hidden), net.hidden_url.unionByName(fresh.hidden_url))
-    net = Network(cut(fresh.word_hidden, "weights"), cut(fresh.hidden_url, "weights"))
+    net = Network(cut(fresh.word_hidden, "weights"), laid_out(fresh.hidden_url, ["url_id"], "weights"))
+    results, clicked = laid_out(results, ["url_id"], "results"), cut(clicked, "clicked")
     for _ in range(passes):
         moved = backward(queries, results, clicked, net)
-        net = Network(cut(moved.word_hidden, "weights"), cut(moved.hidden_url, "weights"))
+        net = Network(cut(moved.word_hidden, "weights"), laid_out(moved.hidden_url, ["url_id"], "weights"))
     return net
 
 

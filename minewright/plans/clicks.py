@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from minewright.operators import feedback
@@ -23,8 +25,12 @@ class Log:
         self.queries = cut(used.select("query_id", F.explode(F.array("segment", "priority")).alias("word_id")).distinct(), "queries")
         self.results = used.select("query_id", "url_id")
         self.clicked = used.groupBy("query_id").agg(F.min_by("url_id", F.struct(-F.col("n"), "url_id")).alias("url_id"))
+
+    @cached_property
+    def net(self):
+        """The connections before training, worked out when a query first needs them."""
         net = feedback.hidden_nodes(self.queries, self.results)
-        self.net = feedback.Network(cut(net.word_hidden, "weights"), cut(net.hidden_url, "weights"))
+        return feedback.Network(cut(net.word_hidden, "weights"), cut(net.hidden_url, "weights"))
 
 
 LOG = """used AS (
