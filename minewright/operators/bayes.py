@@ -132,17 +132,22 @@ def classify(log_probs: DataFrame, thresholds: dict[str, float] | None = None, d
 def inverse_chi2(half: Column, terms: Column) -> Column:
     """Upper tail of chi-squared with ``2·terms`` degrees of freedom at ``2·half``, capped at 1.
 
-    The terms are carried as logs so that long documents do not underflow.
+    Up to a half of 1400 the sum is worked from its last term to its first, on a carried ``exp`` that neither underflows nor lets the sum
+    overflow. Beyond, the terms are carried as logs so that long documents do not underflow.
     """
+    least, most = F.lit(1).cast("long"), F.greatest(terms - 1, F.lit(1).cast("long"))
+    some, none = (terms > 1) & (half > 0), F.array().cast("array<bigint>")
+    carried = F.exp(-F.least(half, F.lit(700.0)))
+    near = F.aggregate(F.coalesce(F.when(some, F.sequence(most, least, F.lit(-1).cast("long"))), none), carried,
+                       lambda acc, i: carried + acc * half / i) * F.exp(F.least(700.0 - half, F.lit(0.0)))
     start = F.struct((-half).alias("log"), F.exp(-half).alias("sum"))
 
     def add(acc, i):
         log = acc["log"] + F.ln(half / i)
         return F.struct(log.alias("log"), (acc["sum"] + F.exp(log)).alias("sum"))
 
-    steps = F.when((terms > 1) & (half > 0), F.sequence(F.lit(1).cast("long"), F.greatest(terms - 1, F.lit(1).cast("long"))))
-    steps = F.coalesce(steps, F.array().cast("array<bigint>"))
-    return F.least(F.aggregate(steps, start, add, lambda acc: acc["sum"]), F.lit(1.0))
+    far = F.aggregate(F.coalesce(F.when(some, F.sequence(least, most)), none), start, add, lambda acc: acc["sum"])
+    return F.least(F.when(half <= 1400, near).otherwise(far), F.lit(1.0))
 
 
 def fisher_probabilities(features: DataFrame, docs: DataFrame, model: Model) -> DataFrame:
