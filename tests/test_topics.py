@@ -1,12 +1,14 @@
 """Topic reports read the tables as they are now."""
 
+import os
 import random
+from datetime import date, timedelta
 from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
-from minewright.operators import factor, factor_blocks
+from minewright.operators import factor, factor_blocks, factor_rounds, vectorize
 from minewright.plans import factors
 from minewright.session import laid_out
 
@@ -76,3 +78,37 @@ def test_a_layout_has_a_row_per_block(spark):
                                   "i_block LONG, i_place INT, j_block LONG, j_place INT, v DOUBLE")
     assert factor_blocks.layout(cells, "i", "j", "by_i").count() == 1
     assert factor_blocks.layout(cells, "j", "i", "by_j").count() == 5
+
+
+def test_a_round_is_one_pass_over_the_cells_and_keeps_no_older_round(spark, monkeypatch):
+    """The smaller side travels: a round lays out one table, of which only the last stays, and no other reads or moves the cells."""
+    laid, gone = [], []
+    real, discard = factor_rounds.laid_out, factor_rounds.discarded
+    monkeypatch.setattr(factor_rounds, "laid_out", lambda df, keys, label, **how: laid.append(label) or real(df, keys, label, **how))
+    monkeypatch.setattr(factor_rounds, "discarded", lambda table: gone.append(table.inputFiles()[0]) or discard(table))
+    cells = spark.createDataFrame([(i, f"w{j}", float(i + j)) for i in range(9) for j in range(20)], "i LONG, j STRING, v DOUBLE")
+    w, h = factor.factorize(cells, 2, rounds=4)
+    assert laid == ["pieces"] + ["state"] * 4 and len(gone) == 3 and not any(os.path.exists(f.removeprefix("file://")) for f in gone)
+    assert w.count() == 9 and h.count() == 20
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_both_ways_of_the_rounds_give_the_same_vectors(spark, monkeypatch, wide):
+    """Repeated cells, missing keys and values, fractions, and keys whose every partner is missing, with either side travelling."""
+    rng = random.Random(7)
+    days = [date(2020, 1, 1) + timedelta(k) for k in range(40 if wide else 7)]
+    cells = [(rng.choice(days), f"w{rng.randrange(7 if wide else 40)}", rng.choice([1.0, 300.0, 0.25, 0.0, None])) for _ in range(150)]
+    cells += [(None, "alone", 2.0), (days[0], None, 1.0), (date(2030, 1, 1), None, 3.0), *cells[:5]]
+    matrix = spark.createDataFrame(cells, "i DATE, j STRING, v DOUBLE")
+    got = [{r[0]: r[1] for r in side.collect()} for side in factor.factorize(matrix, 3, rounds=5)]
+    monkeypatch.setattr(factor_rounds, "TRAVELS", -1)
+    want = [{r[0]: r[1] for r in side.collect()} for side in factor.factorize(matrix, 3, rounds=5)]
+    for mine, others in zip(got, want):
+        assert mine.keys() == others.keys() and all(np.allclose(mine[k], others[k], rtol=1e-9, atol=1e-12) for k in mine)
+
+
+def test_words_of_articles_with_one_number_are_added_up(spark):
+    rows = [(1, "Alpha", "alpha Beta-betaébeta ab"), (1, "Gamma", "beta <b>x</b> delta_1<i"), (None, None, "alpha"), (2, "T", None), (None, "Beta", "beta")]
+    entries = spark.createDataFrame(rows, "doc_id LONG, title STRING, summary STRING")
+    got = {(r.doc_id, r.word): r.n for r in vectorize.article_words(entries).collect()}
+    assert got == {(1, "alphaalpha"): 1, (1, "beta"): 3, (1, "gammabeta"): 1, (1, "delta_1"): 1, (None, "betabeta"): 1}
