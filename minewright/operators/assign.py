@@ -19,11 +19,13 @@ def schedule_rows(solutions: DataFrame, travellers: DataFrame, flights: DataFram
 
     ``solutions(sol_id, choices)``: the choices of traveller d sit at 2d and 2d+1;
     ``travellers(seat, origin)``; ``flights(origin, direction, idx, dep_min, arr_min, price)``.
+    The planner takes the choices for as small as the solutions that they come out of, and would send them all through the
+    driver: the seats are sent instead, no more of them than choices in a row, and choices and flights meet sorted.
     """
     chosen = solutions.select("sol_id", F.posexplode("choices").alias("place", "idx")).select(
         "sol_id", F.floor(F.col("place") / 2).cast("int").alias("seat"),
         (F.col("place") % 2).cast("int").alias("direction"), "idx")
-    return (chosen.join(travellers, "seat").join(flights, ["origin", "direction", "idx"])
+    return (chosen.join(F.broadcast(travellers), "seat").join(flights.hint("merge"), ["origin", "direction", "idx"])
             .select("sol_id", "seat", "origin", "direction", "idx", "dep_min", "arr_min", "price"))
 
 
